@@ -5,20 +5,53 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lineflow.llm import simhash
+from lineflow.llm import exact_dedup, packing, simhash
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_min_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_read(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op6_lsm_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = exact_dedup.resolve(_read(spark, sf_dir, "documents"))
+    return found.withColumn("text_sha256", F.lower(F.hex("digest"))).drop("digest")
+
+
+OP6_SQL = r"""
+WITH t AS (
+    SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents
+)
+SELECT doc_id,
+       min(doc_id) OVER (PARTITION BY norm) AS keep_id,
+       count(*) OVER (PARTITION BY norm) AS group_size,
+       doc_id = min(doc_id) OVER (PARTITION BY norm) AS kept,
+       sha256(norm) AS text_sha256
+FROM t
+"""
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.components(_read(spark, sf_dir, "documents")).drop("text_key")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_min_slack_packing": op1_min_slack_packing,
+    "op6_lsm_exact_dedup": op6_lsm_exact_dedup,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_lsm_exact_dedup": OP6_SQL,
+}
