@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lineflow.llm import exact_dedup, packing, simhash
+from lineflow.llm import decontamination, exact_dedup, packing, simhash
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -29,6 +29,38 @@ def op6_lsm_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("text_sha256", F.lower(F.hex("digest"))).drop("digest")
 
 
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.hits(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark")).drop("spans")
+
+
+OP4_SQL = r"""
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM documents
+), b AS (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark
+), bw AS (
+    SELECT item_id, k, array_to_string(w[i + 1 : i + k], ' ') AS win
+    FROM (SELECT item_id, w, k, unnest(range(len(w) - k + 1)) AS i
+          FROM (SELECT item_id, w, least(10, len(w)) AS k FROM b WHERE len(w) > 0))
+), ks AS (SELECT DISTINCT k FROM bw), dw AS (
+    SELECT doc_id, k, i, array_to_string(w[i + 1 : i + k], ' ') AS win
+    FROM (SELECT doc_id, w, k, unnest(range(len(w) - k + 1)) AS i FROM d, ks WHERE len(w) >= k)
+), hit AS (SELECT doc_id, k, i, item_id FROM dw JOIN bw USING (k, win)), words AS (
+    SELECT doc_id, count(DISTINCT at) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS at FROM hit) GROUP BY doc_id
+), items AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS list
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hit) GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(list, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
 OP6_SQL = r"""
 WITH t AS (
     SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents
@@ -48,10 +80,12 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_min_slack_packing": op1_min_slack_packing,
+    "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op6_lsm_exact_dedup": op6_lsm_exact_dedup,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
 
 ORACLES: dict[str, str] = {
+    "op4_benchmark_decontamination": OP4_SQL,
     "op6_lsm_exact_dedup": OP6_SQL,
 }
