@@ -205,7 +205,7 @@ def _scanner(docs: DataFrame, shard: list[tuple[str, list[bytes], bool]]):
         ]
         return pa.StructArray.from_arrays(columns, ["n_words", "starts", "ends", "items"])
 
-    return scan
+    return scan.asNondeterministic()  # else Spark may run it once more for a filter
 
 
 DIGEST = {"starts": INTS, "ends": INTS, "n_hit": T.LongType(), "n_items": T.LongType(), "items_sha256": T.StringType()}
@@ -257,7 +257,7 @@ def _with_hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             F.concat(old, F.coalesce(F.col(f"_{x}"), F.array().cast(none[x])))
             for x, old in (("starts", starts), ("ends", ends), ("items", items))
         )
-    rows = rows.withColumn("_digest", _digest(starts, ends, items))
+    rows = rows.withColumn("_digest", _digest.asNondeterministic()(starts, ends, items))
     hits = F.struct(F.col("_scan.n_words").alias("n_words"), "_digest.*").alias("_hits")
     return rows.select(*docs.columns, hits)
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lineflow.llm import decontamination, exact_dedup, packing, simhash
+from lineflow.llm import decontamination, exact_dedup, packing, simhash, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -48,9 +48,9 @@ WITH d AS (
           FROM (SELECT item_id, w, least(10, len(w)) AS k FROM b WHERE len(w) > 0))
 ), ks AS (SELECT DISTINCT k FROM bw), dw AS (
     SELECT doc_id, k, i, array_to_string(w[i + 1 : i + k], ' ') AS win
-    FROM (SELECT doc_id, w, k, unnest(range(len(w) - k + 1)) AS i FROM d, ks WHERE len(w) >= k)
+    FROM (SELECT doc_id, w, k, unnest(range(len(w) - k + 1)) AS i FROM d JOIN ks ON len(w) >= k)
 ), hit AS (SELECT doc_id, k, i, item_id FROM dw JOIN bw USING (k, win)), words AS (
-    SELECT doc_id, count(DISTINCT at) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS at FROM hit) GROUP BY doc_id
+    SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM hit) GROUP BY doc_id
 ), items AS (
     SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS list
     FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hit) GROUP BY doc_id
@@ -78,11 +78,24 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.components(_read(spark, sf_dir, "documents")).drop("text_key")
 
 
+def op10_mil_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = toxicity.scores(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+    return found.select("doc_id", "held_out", "score", "predicted", F.size("offending").alias("n_offending"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_min_slack_packing": op1_min_slack_packing,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op6_lsm_exact_dedup": op6_lsm_exact_dedup,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
+    "op10_mil_toxicity": op10_mil_toxicity,
+    "pipeline": pipeline,
 }
 
 ORACLES: dict[str, str] = {
