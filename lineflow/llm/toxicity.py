@@ -6,8 +6,10 @@ document labels are learned from; the sentences with high scores are then the of
 
 * Learning takes labelled rows whose crc32(doc_id as text) mod 4 is not 2, at most
   MOST_EACH of either label (those with the least hash of their id), copies once.
-* The lexicon holds the words that occur in significantly more toxic than other documents
-  of them: at most LEXICON words, by chi-squared over Spark counts.
+* The lexicon holds at most LEXICON words that occur in more toxic documents than chance
+  allows: with df documents of which a share s is toxic, against a rate r of all, chance
+  gives that with a probability of at most exp(-df * KL(s, r)) (Chernoff), which must be
+  below one by the number of words.
 * Weights come from gradient descent; each step is one Spark job over the lexicon words of
   the sample's sentences, of which the driver sees sums only.
 
@@ -20,6 +22,7 @@ ignored by ``scores`` and kept by ``reject``.
 
 from __future__ import annotations
 
+import math
 import re
 
 import numpy as np
@@ -34,9 +37,8 @@ from lineflow.llm.shared import cut
 #: Labelled documents of either kind that are learned from at most.
 MOST_EACH = 10_000
 LEXICON = 2_000
-#: Least number of toxic documents and least chi-squared of a lexicon word.
+#: Least number of documents of a lexicon word.
 LEAST_DOCS = 3
-LEAST_CHI2 = 15.0
 STEPS = 40
 RATE = 0.5
 DECAY = 1e-3
@@ -82,12 +84,13 @@ def lexicon(rows: DataFrame) -> list[bytes]:
     if not n or not n1 or n1 == n:
         return []
     words = rows.mapInArrow(_distinct_words, "word binary, toxic int")
-    per = words.groupBy("word").agg(F.count("*").alias("df"), F.sum("toxic").alias("a"))
-    a, b = F.col("a").cast("double"), (F.col("df") - F.col("a")).cast("double")
-    c, d = F.lit(float(n1)) - a, F.lit(float(n - n1)) - b
-    chi2 = F.lit(float(n)) * (a * d - b * c) ** 2 / ((a + b) * (c + d) * float(n1) * float(n - n1))
-    told = per.filter((F.col("a") >= LEAST_DOCS) & (F.col("df") < n) & (a * d > b * c)).withColumn("chi2", chi2)
-    told = told.filter(F.col("chi2") >= LEAST_CHI2).orderBy(F.desc("chi2"), "word").limit(LEXICON)
+    per = words.groupBy("word").agg(F.count("*").alias("df"), F.sum("toxic").alias("a")).filter(F.col("df") >= LEAST_DOCS)
+    per = cut(per)
+    rate, share = n1 / n, F.col("a") / F.col("df")
+    other = F.when(F.col("a") < F.col("df"), (1 - share) * F.log((1 - share) / (1 - rate))).otherwise(0.0)
+    told = per.filter(share > rate).withColumn("evidence", F.col("df") * (share * F.log(share / rate) + other))
+    told = told.filter(F.col("evidence") >= math.log(max(per.count(), 2)))
+    told = told.orderBy(F.desc("evidence"), "word").limit(LEXICON)
     return [bytes(r["word"]) for r in told.select("word").collect()]
 
 
@@ -110,7 +113,7 @@ def _features(number: dict[bytes, int]):
     return run
 
 
-def _gradient(weights: np.ndarray, balance: float):
+def _gradient(weights: np.ndarray):
     """Per partition, the summed gradient of the documents' log-likelihood; the last weight is the bias."""
 
     def run(batches):
@@ -124,7 +127,7 @@ def _gradient(weights: np.ndarray, balance: float):
                 p = 1 / (1 + np.exp(-z))
                 if toxic:
                     clear = np.exp(np.log1p(-np.minimum(p, 1 - 1e-12)).sum())  # all sentences are
-                    step = balance * p * clear / max(1 - clear, 1e-12)
+                    step = p * clear / max(1 - clear, 1e-12)
                 else:
                     step = -p
                 np.add.at(total, word, np.repeat(step, np.diff([*starts, len(word)])))
@@ -142,12 +145,11 @@ def learn(docs: DataFrame, labels: DataFrame) -> dict[bytes, float]:
         return {}
     number = {w: k for k, w in enumerate(words)}
     bags = cut(rows.mapInArrow(_features(number), "toxic int, sentence array<int>, word array<int>"))
-    n, n1 = bags.agg(F.count("*"), F.sum("toxic")).first()
-    balance = min(5.0, (n - n1) / n1)
+    n = bags.count()
     weights, speed, power = np.zeros(len(words) + 1), np.zeros(len(words) + 1), np.zeros(len(words) + 1)
     weights[-1] = -2.0
     for step in range(1, STEPS + 1):  # Adam
-        parts = bags.mapInArrow(_gradient(weights, balance), "gradient array<double>").collect()
+        parts = bags.mapInArrow(_gradient(weights), "gradient array<double>").collect()
         g = np.sum([r[0] for r in parts], axis=0) / n - DECAY * np.append(weights[:-1], 0)
         speed = 0.9 * speed + 0.1 * g
         power = 0.99 * power + 0.01 * g * g
