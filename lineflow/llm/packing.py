@@ -35,12 +35,13 @@ END_ID = 1
 #: Tokens in a pool: 4 bytes each.
 POOL_TOKENS = 4_000_000
 #: Chunks whose ids a worker remembers: about 200 bytes each.
-CACHE = 600_000
+CACHE = 1_000_000
 #: Rows tokenized at once.
 ROWS = 256
 #: Separators that Python's split() takes for white space and the tokenizer does not.
 ODD_SPACE = re.compile("[\x1c-\x1f]")
-LONE_STOP = re.compile(r"(?<=[^\W_])[.,](?=\s|$)")
+#: Marks that end a chunk as one token after letters: no apostrophe, which may begin a contraction.
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 _known: dict[str, Encoder] = {}
 
@@ -50,8 +51,8 @@ class Encoder:
 
     The tokenizer neither joins nor compares characters across white space, so it runs once
     on each distinct chunk between white space, and texts are put together from these.
-    Two rewrites that leave ids as they are make chunks fewer: the tokenizer lower-cases
-    anyway, and a lone full stop or comma after a letter or digit is a token by itself.
+    Two steps that leave ids as they are make its runs fewer: texts are lower-cased, as the
+    tokenizer does, and a new chunk of letters and then marks is put together from both.
     """
 
     def __init__(self, path: str):
@@ -78,13 +79,24 @@ class Encoder:
         whole, ends = ids.tobytes(), ends.tolist()
         return [whole[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
-    def _learn(self, chunks: list[str]) -> None:
-        words = [x for x in chunks if x.isalpha()]
-        rest = [x for x in chunks if not x.isalpha()]
+    def _learn(self, chunks: set[str]) -> None:
+        words, rest, joined = set(), set(), []
+        for x in chunks:
+            if x.isalpha():
+                words.add(x)
+            elif (base := x.rstrip(MARKS)) != x and base.isalpha():
+                words.add(base)
+                rest.add(x[len(base) :])
+                joined.append((x, base))
+            else:
+                rest.add(x)
         for kind, run, size in ((words, self._words, 256), (rest, self._each, 2048)):
+            kind = [x for x in kind if x not in self.young]
             for i in range(0, len(kind), size):
                 part = kind[i : i + size]
                 self.young.update(zip(part, run(part), strict=True))
+        for x, base in joined:
+            self.young[x] = self.young[base] + self.young[x[len(base) :]]
 
     @staticmethod
     def _chunks(text: str) -> list[str] | None:
@@ -95,18 +107,20 @@ class Encoder:
             pass  # lower case could make a special token of it
         elif text.isascii() or "\u03a3" not in text and is_normalized("NFC", text) and is_normalized("NFC", low):
             text = low
-        return LONE_STOP.sub(r" \g<0>", text).split()
+        return text.split()
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         split = [self._chunks(t) for t in texts]
         if len(self.young) > CACHE // 2:
             self.young, self.old = {}, self.young
-        new = set().union(*(x for x in split if x)) - self.young.keys()
-        if self.old:
-            known = new & self.old.keys()
-            self.young.update({x: self.old[x] for x in known})
-            new -= known
-        self._learn(sorted(new))
+        young, old, new = self.young, self.old, set()
+        for x in set().union(*(x for x in split if x)):
+            if x not in young:  # not a difference of key views: that goes through all keys
+                if x in old:
+                    young[x] = old[x]
+                else:
+                    new.add(x)
+        self._learn(new)
         get = self.young.__getitem__
         return [self._each([t])[0] if x is None else b"".join(map(get, x)) for t, x in zip(texts, split, strict=True)]
 
