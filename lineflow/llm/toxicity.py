@@ -1,12 +1,12 @@
 """Toxicity by multiple-instance learning.
 
-A document is a bag of sentences.  Each sentence has a logistic score over the words of a
-lexicon, and the document's score is the noisy-or of these: 1 - prod(1 - p).  Only
+A document is a bag of sentences.  Each sentence has a logistic score over the words and
+word beginnings (PREFIXES letters) of a lexicon, and the document's score is the noisy-or of these: 1 - prod(1 - p).  Only
 document labels are learned from; the sentences with high scores are then the offending ones.
 
 * Learning takes labelled rows whose crc32(doc_id as text) mod 4 is not 2, at most
   MOST_EACH of either label (those with the least hash of their id), copies once.
-* The lexicon holds at most LEXICON words that occur in more toxic documents than chance
+* The lexicon holds at most LEXICON words and beginnings that occur in more toxic documents than chance
   allows: with df documents of which a share s is toxic, against a rate r of all, chance
   gives that with a probability of at most exp(-df * KL(s, r)) (Chernoff), which must be
   below one by the number of words.
@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -37,11 +38,15 @@ from lineflow.llm.shared import cut
 #: Labelled documents of either kind that are learned from at most.
 MOST_EACH = 10_000
 LEXICON = 2_000
+#: Lengths of word beginnings; in the lexicon these end with an asterisk.
+PREFIXES = range(4, 9)
 #: Least number of documents of a lexicon word.
 LEAST_DOCS = 3
-STEPS = 40
-RATE = 0.5
-DECAY = 1e-3
+STEPS = 60
+RATE = 0.4
+DECAY = 1e-4
+#: Words without features that a scoring batch remembers.
+PLAIN = 300_000
 THRESHOLD = 0.3
 #: Sentences at and above this score are reported as offending.
 OFFENDING = 0.5
@@ -52,8 +57,14 @@ _SENTENCES = bytes(10 if c in _ENDS else w for c, w in enumerate(_WORDS))
 _SENTENCE = re.compile(r"[^.!?\n]+")
 
 
-def _bytes(text: str | None) -> bytes:
-    return (text or "").encode("utf-8", "surrogatepass")
+def _words(text: str | None, table: bytes = _WORDS) -> str:
+    """``text`` in lower case with spaces between words, and by ``table`` lines for sentences."""
+    return (text or "").encode("utf-8", "surrogatepass").translate(table).decode("utf-8", "surrogatepass")
+
+
+def _traits(word: str) -> list[str]:
+    """A word, and its beginnings."""
+    return [word, *(word[:k] + "*" for k in PREFIXES if k < len(word))]
 
 
 def held_out() -> Column:
@@ -71,19 +82,25 @@ def sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.groupBy(F.sha2("text", 256).alias("copy")).agg(F.first("text").alias("text"), F.max("toxic").alias("toxic"))
 
 
-def _distinct_words(batches):
+def _distinct_traits(batches):
+    found, marks = [], []
     for batch in batches:
         for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
-            found = list(set(_bytes(text).translate(_WORDS).split()))
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), pa.array([toxic] * len(found), pa.int32())], ["word", "toxic"])
+            own = {x for w in set(_words(text).split()) for x in _traits(w)}
+            found += own
+            marks += [toxic] * len(own)
+            if len(found) > 100_000:
+                yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), pa.array(marks, pa.int32())], ["word", "toxic"])
+                found, marks = [], []
+    yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), pa.array(marks, pa.int32())], ["word", "toxic"])
 
 
-def lexicon(rows: DataFrame) -> list[bytes]:
+def lexicon(rows: DataFrame) -> list[str]:
     """The words that tell toxic documents, most telling first."""
     n, n1 = rows.agg(F.count("*"), F.sum("toxic")).first()
     if not n or not n1 or n1 == n:
         return []
-    words = rows.mapInArrow(_distinct_words, "word binary, toxic int")
+    words = rows.mapInArrow(_distinct_traits, "word string, toxic int")
     per = words.groupBy("word").agg(F.count("*").alias("df"), F.sum("toxic").alias("a")).filter(F.col("df") >= LEAST_DOCS)
     per = cut(per)
     rate, share = n1 / n, F.col("a") / F.col("df")
@@ -91,10 +108,10 @@ def lexicon(rows: DataFrame) -> list[bytes]:
     told = per.filter(share > rate).withColumn("evidence", F.col("df") * (share * F.log(share / rate) + other))
     told = told.filter(F.col("evidence") >= math.log(max(per.count(), 2)))
     told = told.orderBy(F.desc("evidence"), "word").limit(LEXICON)
-    return [bytes(r["word"]) for r in told.select("word").collect()]
+    return [r["word"] for r in told.select("word").collect()]
 
 
-def _features(number: dict[bytes, int]):
+def _features(number: dict[str, int]):
     """Per document, the lexicon words of its sentences: sentence numbers and word numbers."""
 
     def run(batches):
@@ -102,8 +119,8 @@ def _features(number: dict[bytes, int]):
             rows = []
             for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
                 at, word = [], []
-                for k, s in enumerate(_bytes(text).translate(_SENTENCES).split(b"\n")):
-                    own = {number[w] for w in s.split() if w in number}
+                for k, s in enumerate(_words(text, _SENTENCES).split("\n")):
+                    own = [number[x] for w in set(s.split()) for x in _traits(w) if x in number]
                     at += [k] * len(own)
                     word += sorted(own)
                 rows.append((toxic, at, word))
@@ -137,8 +154,8 @@ def _gradient(weights: np.ndarray):
     return run
 
 
-def learn(docs: DataFrame, labels: DataFrame) -> dict[bytes, float]:
-    """Weights of the lexicon's words; that of ``b""`` is the bias.  Empty: nothing to learn from."""
+def learn(docs: DataFrame, labels: DataFrame) -> dict[str, float]:
+    """Weights of the lexicon's words; that of ``""`` is the bias.  Empty: nothing to learn from."""
     rows = cut(sample(docs, labels))
     words = lexicon(rows)
     if not words:
@@ -154,34 +171,48 @@ def learn(docs: DataFrame, labels: DataFrame) -> dict[bytes, float]:
         speed = 0.9 * speed + 0.1 * g
         power = 0.99 * power + 0.01 * g * g
         weights += RATE * speed / (1 - 0.9**step) / (np.sqrt(power / (1 - 0.99**step)) + 1e-8)
-    return dict(zip([*words, b""], weights.tolist(), strict=True))
+    return dict(zip([*words, ""], weights.tolist(), strict=True))
 
 
+_plain: dict[str, set[str]] = {}
 SPAN = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("score", T.DoubleType())])
 SCORED = T.StructType([T.StructField("score", T.DoubleType()), T.StructField("offending", T.ArrayType(SPAN))])
 
 
-def _one(text: str | None, weights: dict[bytes, float]) -> tuple[float, list[tuple[int, int, float]]]:
-    """A text's score, and its offending sentences as character spans."""
-    if not text or not weights or weights.keys().isdisjoint(_bytes(text).translate(_WORDS).split()):
+def _one(text: str | None, weights: dict[str, float], plain: set[str]) -> tuple[float, list[tuple[int, int, float]]]:
+    """A text's score, and its offending sentences as character spans.  ``plain``: words known to have no weight."""
+    told = []
+    for w in set(_words(text).split()) - plain:
+        if weights.keys().isdisjoint(_traits(w)):
+            plain.add(w)
+        else:
+            told.append(w)
+    if not told:
         return 0.0, []
+    told = {w: sum(weights.get(x, 0.0) for x in _traits(w)) for w in told}
     clear, spans = 1.0, []
     for m in _SENTENCE.finditer(text):
-        own = weights.keys() & set(_bytes(m[0]).translate(_WORDS).split())
+        own = told.keys() & set(_words(m[0]).split())
         if own:
-            p = 1 / (1 + np.exp(-min(max(weights[b""] + sum(weights[w] for w in sorted(own)), -50.0), 50.0)))
+            z = weights[""] + sum(told[w] for w in sorted(own))
+            p = 1 / (1 + math.exp(-min(max(z, -50.0), 50.0)))
             clear *= 1 - p
             if p >= OFFENDING:
-                spans.append((m.start(), m.end(), float(p)))
-    return float(1 - clear), spans
+                spans.append((m.start(), m.end(), p))
+    return 1 - clear, spans
 
 
-def scorer(weights: dict[bytes, float]):
+def scorer(weights: dict[str, float]):
     """A column function: struct(score, offending) of a text."""
+    name = uuid.uuid4().hex
 
     @arrow_udf(SCORED)
     def score(text: pa.Array) -> pa.Array:
-        found = [_one(t.as_py(), weights) for t in text]
+        found, plain = [], _plain.setdefault(name, set())
+        for t in text:
+            if len(plain) > PLAIN:
+                plain.clear()
+            found.append(_one(t.as_py(), weights, plain) if weights else (0.0, []))
         spans = [[dict(zip(("start", "end", "score"), s, strict=True)) for s in x] for _, x in found]
         kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
         return pa.StructArray.from_arrays([pa.array([x for x, _ in found], pa.float64()), pa.array(spans, kind)], ["score", "offending"])
