@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lineflow.llm import decontamination, exact_dedup, packing, simhash, toxicity
+from lineflow.llm import chat, decontamination, exact_dedup, langid, packing, simhash, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -74,6 +74,32 @@ FROM t
 """
 
 
+def op7_rank_order_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(_read(spark, sf_dir, "documents"))
+
+
+def op8_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.rotate(_read(spark, sf_dir, "conversations"))
+
+
+OP8_SQL = r"""
+WITH t AS (
+    SELECT conv_id, coalesce(turn, -1) AS turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text
+    FROM conversations
+), p AS (SELECT DISTINCT conv_id, role AS perspective FROM t WHERE role <> 'system'), r AS (
+    SELECT t.*, perspective,
+           CASE WHEN role = 'system' THEN '<|im_start|>system' || chr(10)
+                WHEN role = perspective THEN '<|im_start|>assistant' || chr(10)
+                ELSE '<|im_start|>user name=' || regexp_replace(role, '[^A-Za-z0-9_-]', '_', 'g') || chr(10) END AS head
+    FROM t JOIN p ON t.conv_id IS NOT DISTINCT FROM p.conv_id
+), s AS (SELECT *, head || replace(text, '<|', '< |') || '<|im_end|>' || chr(10) AS segment FROM r)
+SELECT conv_id, perspective, row_number() OVER w - 1 AS n, turn,
+       CAST(sum(length(segment)) OVER w AS BIGINT) - length(segment) AS start, segment,
+       CAST(role = perspective AS INTEGER) AS mask, CAST(length(head) AS INTEGER) AS learn_from
+FROM s WINDOW w AS (PARTITION BY conv_id, perspective ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING)
+"""
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.components(_read(spark, sf_dir, "documents")).drop("text_key")
 
@@ -93,6 +119,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_min_slack_packing": op1_min_slack_packing,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op6_lsm_exact_dedup": op6_lsm_exact_dedup,
+    "op7_rank_order_language": op7_rank_order_language,
+    "op8_perspective_rotation": op8_perspective_rotation,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_mil_toxicity": op10_mil_toxicity,
     "pipeline": pipeline,
@@ -101,4 +129,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op4_benchmark_decontamination": OP4_SQL,
     "op6_lsm_exact_dedup": OP6_SQL,
+    "op8_perspective_rotation": OP8_SQL,
 }
