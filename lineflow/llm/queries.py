@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lineflow.llm import chat, decontamination, exact_dedup, langid, packing, simhash, toxicity
+from lineflow.llm import chat, decontamination, exact_dedup, langid, line_dedup, packing, simhash, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -61,6 +61,12 @@ FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
+def op5_winnowing_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.line_dedup(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+    kept = F.sha2(F.coalesce("text", F.lit("")), 256)
+    return found.select("doc_id", "removed", F.char_length("text").cast("long").alias("kept_chars"), kept.alias("kept_sha256"))
+
+
 OP6_SQL = r"""
 WITH t AS (
     SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents
@@ -118,6 +124,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_min_slack_packing": op1_min_slack_packing,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
+    "op5_winnowing_line_dedup": op5_winnowing_line_dedup,
     "op6_lsm_exact_dedup": op6_lsm_exact_dedup,
     "op7_rank_order_language": op7_rank_order_language,
     "op8_perspective_rotation": op8_perspective_rotation,
