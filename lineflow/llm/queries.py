@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lineflow.llm import chat, decontamination, exact_dedup, langid, line_dedup, packing, simhash, toxicity
+from lineflow.llm import chat, decontamination, exact_dedup, langid, license_scan, line_dedup, packing, secret_scan, simhash, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -29,6 +29,15 @@ def op6_lsm_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("text_sha256", F.lower(F.hex("digest"))).drop("digest")
 
 
+def op2_forest_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(_read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n", F.sha2("candidate", 256).alias("candidate_sha256"), "chance", "is_secret")
+
+
+def op3_license_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(_read(spark, sf_dir, "documents"))
+
+
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.hits(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark")).drop("spans")
 
@@ -123,6 +132,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_min_slack_packing": op1_min_slack_packing,
+    "op2_forest_secret_scan": op2_forest_secret_scan,
+    "op3_license_compression": op3_license_compression,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_winnowing_line_dedup": op5_winnowing_line_dedup,
     "op6_lsm_exact_dedup": op6_lsm_exact_dedup,
