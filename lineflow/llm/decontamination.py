@@ -23,6 +23,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -151,6 +152,14 @@ class Automaton:
 _built: dict[str, Automaton] = {}
 
 
+def _automaton(name: str, sent: Broadcast) -> Automaton:
+    """The automaton of a broadcast shard, built once in this Python worker; only the last one is kept."""
+    if name not in _built:
+        _built.clear()
+        _built[name] = Automaton(sent.value)
+    return _built[name]
+
+
 def _shards(benchmark: DataFrame) -> Iterator[list[tuple[str, list[bytes], bool]]]:
     """Item pieces by shard: of each, (item, words, whole).
 
@@ -188,10 +197,7 @@ def _scanner(docs: DataFrame, shard: list[tuple[str, list[bytes], bool]]):
 
     @arrow_udf(T.StructType([T.StructField(k, v) for k, v in kinds.items()]))
     def scan(text: pa.Array) -> pa.Array:
-        if name not in _built:
-            _built.clear()
-            _built[name] = Automaton(sent.value)
-        walk, counts, found = _built[name].scan, [], []
+        walk, counts, found = _automaton(name, sent).scan, [], []
         for t in text:
             w = words(t.as_py())
             counts.append(len(w))

@@ -122,6 +122,17 @@ def nearest(own: np.ndarray, profiles: dict[str, tuple[np.ndarray, np.ndarray]])
 
 
 _ready: dict[str, dict] = {}
+
+
+def _sorted_profiles(name: str, profiles: dict[str, list[int]]) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """Codes in order and their places, kept in this Python worker for the last predictor."""
+    if name not in _ready:
+        _ready.clear()
+        order = {k: np.argsort(np.array(v, np.int64)) for k, v in profiles.items()}
+        _ready[name] = {k: (np.array(v, np.int64)[order[k]], order[k]) for k, v in profiles.items()}
+    return _ready[name]
+
+
 PREDICTED = T.StructType([T.StructField("lang", T.StringType()), T.StructField("score", T.DoubleType())])
 
 
@@ -131,15 +142,13 @@ def predictor(profiles: dict[str, list[int]]):
 
     @arrow_udf(PREDICTED)
     def predict(text: pa.Array) -> pa.Array:
-        if name not in _ready:
-            order = {k: np.argsort(np.array(v, np.int64)) for k, v in profiles.items()}
-            _ready[name] = {k: (np.array(v, np.int64)[order[k]], order[k]) for k, v in profiles.items()}
+        ready = _sorted_profiles(name, profiles)
         langs, scores = [], []
         for t in text:
             codes = grams(t.as_py())
             lang, score = (UNKNOWN, 0.0)
             if len(codes) and profiles:
-                lang, score = nearest(top(*np.unique(codes, return_counts=True)), _ready[name])
+                lang, score = nearest(top(*np.unique(codes, return_counts=True)), ready)
             langs.append(lang)
             scores.append(score)
         return pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["lang", "score"])

@@ -46,7 +46,7 @@ STEPS = 60
 RATE = 0.4
 DECAY = 1e-4
 #: Words without features that a scoring batch remembers.
-PLAIN = 300_000
+PLAIN = 200_000
 THRESHOLD = 0.3
 #: Sentences at and above this score are reported as offending.
 OFFENDING = 0.5
@@ -175,6 +175,16 @@ def learn(docs: DataFrame, labels: DataFrame) -> dict[str, float]:
 
 
 _plain: dict[str, set[str]] = {}
+
+
+def _plain_words(name: str) -> set[str]:
+    """Words without features that this Python worker has met; only the last scorer's are kept."""
+    if name not in _plain:
+        _plain.clear()
+        _plain[name] = set()
+    return _plain[name]
+
+
 SPAN = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("score", T.DoubleType())])
 SCORED = T.StructType([T.StructField("score", T.DoubleType()), T.StructField("offending", T.ArrayType(SPAN))])
 
@@ -208,7 +218,7 @@ def scorer(weights: dict[str, float]):
 
     @arrow_udf(SCORED)
     def score(text: pa.Array) -> pa.Array:
-        found, plain = [], _plain.setdefault(name, set())
+        found, plain = [], _plain_words(name)
         for t in text:
             if len(plain) > PLAIN:
                 plain.clear()
