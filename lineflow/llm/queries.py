@@ -116,7 +116,7 @@ FROM s WINDOW w AS (PARTITION BY conv_id, perspective ORDER BY turn, role, text
 
 
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.components(_read(spark, sf_dir, "documents")).drop("text_key")
+    return simhash.components(_read(spark, sf_dir, "documents"))
 
 
 def op10_mil_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -156,7 +156,7 @@ def connect(edges: DataFrame) -> DataFrame:
 
 
 def _classes(prints: DataFrame) -> DataFrame:
-    """(fp, component_id, n) of each distinct fingerprint."""
+    """(fp, root, component_id, n) of each distinct fingerprint; root names the class by its least fingerprint."""
     own = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("least_id"), F.count("*").alias("n")))
     least = connect(links(cut(with_partners(own.select("fp")))))
     told = own.join(least, own["fp"] == least["a"], "left").select(
@@ -164,28 +164,33 @@ def _classes(prints: DataFrame) -> DataFrame:
     )
     roots = told.groupBy("root").agg(F.min("least_id").alias("component_id"), F.count("*").alias("members"))
     told, roots = cut(told), cut(roots)
-    return lookup(told, roots, "root", told.count(), "members").select("fp", "component_id", "n")
+    return lookup(told, roots, "root", told.count(), "members").select("fp", "root", "component_id", "n")
 
 
-def components(docs: DataFrame) -> DataFrame:
-    """One row per row of ``docs``: doc_id, text_key, fingerprint (16 hex digits), component_id."""
+def _told(docs: DataFrame) -> DataFrame:
+    """(doc_id, text_key, fp, root, component_id) of each row of ``docs``."""
     prints = cut(fingerprints(docs))
-    rows = lookup(prints, cut(_classes(prints)), "fp", prints.count())
-    return rows.select("doc_id", "text_key", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return lookup(prints, cut(_classes(prints)), "fp", prints.count())
+
+
+def components(docs: DataFrame) -> DataFrame:
+    """One row per row of ``docs``: doc_id, fingerprint (16 hex digits), component_id."""
+    return _told(docs).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def near_dedup(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each component: that with the smallest doc_id."""
-    found = cut(components(docs))
-    gone = found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        "doc_id", "text_key", F.lit(False).alias("spare")
-    )
-    stay = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    again = stay.groupBy("doc_id", "component_id").agg(F.min("text_key").alias("first"), F.count("*").alias("n"))
-    again = cut(again.filter("n > 1"))
-    if not again.isEmpty():  # one doc_id on several rows of a component: its least text key stays, once
-        rows = stay.join(again.select("doc_id", "first"), "doc_id").select(
-            "doc_id", "text_key", (F.col("text_key") == F.col("first")).alias("spare")
-        )
-        gone = gone.unionByName(rows.distinct())
-    return drop_rows(docs, gone, F.xxhash64("text")) 
+    """``docs`` with one document of each component: that with the smallest doc_id.
+
+    Of rows of a component with this same id, the one with the least hash of its text stays.
+    """
+    found = cut(_told(docs))
+    least = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    gone = found.filter(~least).select("doc_id", "text_key", F.lit(False).alias("spare")).distinct()
+    stay = found.filter(least)
+    again = stay.groupBy("doc_id", "root").agg(F.min("text_key").alias("first"), F.count("*").alias("n"))
+    again = cut(again.filter("n > 1").select("doc_id", "root", "first"))
+    if not again.isEmpty():
+        rows = stay.join(again, ["doc_id", "root"])
+        spare = (F.col("text_key") == F.col("first")).alias("spare")
+        gone = gone.unionByName(rows.select("doc_id", "text_key", spare).distinct())
+    return drop_rows(docs, gone, F.xxhash64("text"))
