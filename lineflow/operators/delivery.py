@@ -31,6 +31,6 @@ def retry_schedule(df: DataFrame, attempts: int) -> DataFrame:
     return df.select("*", F.explode(waits).alias("_w")).select(*df.columns, "_w.*")
 
 
-def capacity_needed(size: Column, first: int) -> Column:
-    """A buffer's capacity for ``size`` bytes: ``first`` times the least power of two that holds it."""
-    return F.lit(first) * F.pow(F.lit(2), F.greatest(F.ceil(F.log2(size / first)), F.lit(0))).cast("bigint")
+def capacity_needed(size: Column, current: int) -> Column:
+    """A buffer of ``current`` bytes grown to hold ``size``: the least multiple of its size that does."""
+    return (F.lit(current) * F.greatest(F.ceil(size / current), F.lit(1))).cast("bigint")

@@ -11,6 +11,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lineflow.functions import arrays, binary, names, text, times
 from lineflow.plans.spec import Field, RowSpec
@@ -41,7 +42,7 @@ def _text_value(df: DataFrame, f: Field, version: int) -> Column | None:
     if f.kind == "timestamp":
         return _stamp(df, f.source, f.unit, version, designated=False)
     if f.kind == "decimal_text":
-        told = c.cast("string")
+        told = text.js_number(c) if isinstance(df.schema[f.source].dataType, (T.DoubleType, T.FloatType)) else c.cast("string")
         bad = F.raise_error(F.concat(F.lit("not a decimal: "), told)).cast("string")
         return F.when(told.isNull(), None).when(names.is_decimal_text(told), F.concat(told, F.lit("d"))).otherwise(bad)
     if f.kind == "float" and version == 1:

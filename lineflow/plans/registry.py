@@ -402,7 +402,7 @@ def status_retryable(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("again", delivery.is_retryable(F.col("status")))
 
 
-@registered("SELECT event_type, CAST(64 * 2 ** greatest(ceil(log2(total / 64)), 0) AS BIGINT) AS capacity FROM (SELECT event_type, count(*) * 8 AS total FROM events GROUP BY ALL)")
+@registered("SELECT event_type, CAST(64 * greatest(ceil(total / 64), 1) AS BIGINT) AS capacity FROM (SELECT event_type, count(*) * 8 AS total FROM events GROUP BY ALL)")
 def buffer_capacity(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read(spark, sf_dir, "events").groupBy("event_type").agg((F.count("*") * 8).alias("total"))
     return rows.select("event_type", delivery.capacity_needed(F.col("total"), 64).alias("capacity"))

@@ -6,9 +6,11 @@ from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lineflow import ConfigError, Field, RowSpec, encode, from_config, from_env, register
 from lineflow.operators.batch import by_rows, flushes
+from lineflow.operators.delivery import capacity_needed
 from lineflow.operators.schema import annotate, columns, merge
 from lineflow.sources import config
 from lineflow.sources.sink import BufferTooLarge, chunks
@@ -135,6 +137,11 @@ def test_streams(spark, server, tmp_path):
     assert [r[1] for r in spark.sql("SELECT batch, count(*) FROM flow_batches GROUP BY 1 ORDER BY 1").collect()] == [20, 20, 10]
 
 
+def test_capacity(spark):
+    for current, size, want in ((8, 8, 8), (8, 20, 24), (24, 25, 48), (48, 60, 96)):
+        assert spark.range(1).select(capacity_needed(F.lit(size), current)).first()[0] == want
+
+
 def test_flush_policy():
     times = np.array([0, 1, 2, 10, 11, 25])
     assert flushes(times, 3, 0, (0, 0, 0))[0].tolist() == [0, 0, 0, 1, 1, 1]

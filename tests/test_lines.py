@@ -85,6 +85,12 @@ def test_empty_arrays_of_three_levels(spark):
     assert lines(df, RowSpec("t", (), (Field("a", "array"),)), 2)[0] == b"t a==" + bytes.fromhex("0e0a03030000000200000000000000") + b"\n"
 
 
+def test_decimal_texts(spark):
+    df = spark.createDataFrame([("1.234500", -42.0, float("nan"))], "a string, b double, c double")
+    spec = RowSpec("fx", (), tuple(Field(x, "decimal_text") for x in "abc"))
+    assert lines(df, spec, 3) == [b"fx a=1.234500d,b=-42d,c=NaNd\n"]
+
+
 def test_rejected_values(spark):
     ragged = spark.createDataFrame([([[1.0], [1.0, 2.0]],)], "a array<array<double>>")
     with pytest.raises(Exception, match="sub-arrays"):
