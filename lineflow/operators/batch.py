@@ -1,7 +1,8 @@
 """Which rows are sent together: by rows, by time, by bytes.
 
-Batches are made per key (a writer, as with one sender per worker), so keys are dealt out.  A
-single writer's order is sequential by nature; give ``writer`` to spread the work.
+Batches are made per key (a writer, as with one sender per worker).  Batches by rows and bytes
+need running sums only, which are made in two levels, however many rows a writer has.  The time
+rule is sequential: a writer's rows pass one task in order, without being held.
 """
 
 from __future__ import annotations
@@ -15,16 +16,37 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _before(writer: list[str], order: list[str]):
-    return Window.partitionBy(*writer).orderBy(*order)
+def running(df: DataFrame, order: list[str], writer: list[str], sums: dict[str, Column]) -> DataFrame:
+    """``df`` with running sums, each row included, over a writer's rows in ``order``.
+
+    A writer may own most rows, so rows are dealt by ranges of ``order``; sums run within a
+    writer's share of a range, and the totals of its ranges before are added.  Rows that
+    ``order`` doesn't tell apart are numbered in any order.
+    """
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.select("*", *(c.cast("bigint").alias(k) for k, c in sums.items()))
+    dealt = dealt.repartitionByRange(ranges, *order).withColumn("_part", F.spark_partition_id())  # this number is kept as it is
+    inside = Window.partitionBy(*writer, "_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    rows = dealt.select("*", *(F.sum(k).over(inside).alias(f"_in_{k}") for k in sums))
+    totals = dealt.groupBy(*writer, "_part").agg(*(F.sum(k).alias(f"_all_{k}") for k in sums))
+    along = Window.partitionBy(*writer).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = totals.select(
+        F.col("_part").alias("_range"),
+        *(F.col(w).alias(f"_of_{w}") for w in writer),
+        *(F.coalesce(F.sum(f"_all_{k}").over(along), F.lit(0)).alias(f"_to_{k}") for k in sums),
+    )
+    met = F.col("_part") == F.col("_range")
+    for w in writer:
+        met = met & F.col(w).eqNullSafe(F.col(f"_of_{w}"))
+    return rows.join(before, met).select(*(rows[c] for c in df.columns), *((F.col(f"_in_{k}") + F.col(f"_to_{k}")).alias(k) for k in sums))
 
 
 def by_rows(df: DataFrame, order: list[str], rows: int, writer: list[str]) -> DataFrame:
     """``df`` with ``batch``: rows 0 to rows - 1 of a writer are batch 0 and so on; rows 0 means one batch."""
     if rows <= 0:
         return df.withColumn("batch", F.lit(0).cast("bigint"))
-    place = F.row_number().over(_before(writer, order)) - 1
-    return df.withColumn("batch", F.floor(place / rows).cast("bigint"))
+    numbered = running(df, order, writer, {"_place": F.lit(1)})
+    return numbered.withColumn("batch", F.floor((F.col("_place") - 1) / rows).cast("bigint")).drop("_place")
 
 
 def by_bytes(df: DataFrame, order: list[str], limit: int, writer: list[str], line: str = "line") -> DataFrame:
@@ -34,8 +56,7 @@ def by_bytes(df: DataFrame, order: list[str], limit: int, writer: list[str], lin
     """
     size = F.octet_length(line).cast("bigint")
     fits = F.when(size > limit, F.raise_error(F.lit(f"a line is larger than {limit} bytes")).cast("bigint")).otherwise(size)
-    so_far = F.sum(fits).over(_before(writer, order).rowsBetween(Window.unboundedPreceding, 0))
-    df = df.withColumn("bytes", so_far)
+    df = running(df, order, writer, {"bytes": fits})
     return df.withColumn("batch", F.floor((F.col("bytes") - 1) / limit).cast("bigint"))
 
 

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lineflow import ConfigError, Field, RowSpec, encode, from_config, from_env, register
-from lineflow.operators.batch import by_rows, flushes
+from lineflow.operators.batch import by_rows, flushes, running
 from lineflow.operators.delivery import capacity_needed
 from lineflow.operators.schema import annotate, columns, merge
 from lineflow.sources import config
@@ -149,6 +149,17 @@ def test_flush_policy():
     assert flushes(times, 0, 0, (0, 0, 0))[0].tolist() == [0] * 6
 
 
+def test_running_sums_of_a_large_writer(spark):
+    df = spark.range(500).selectExpr("id", "(id * 7919) % 503 as t", "if(id % 10 = 0, 'b', if(id % 10 = 1, null, 'a')) as w").repartition(5)
+    got = running(df, ["t"], ["w"], {"place": F.lit(1), "total": F.col("id")}).collect()
+    for w in ("a", "b", None):
+        place = total = 0
+        for r in sorted((r for r in got if r.w == w), key=lambda r: r.t):
+            place, total = place + 1, total + r.id
+            assert (r.place, r.total) == (place, total)
+    assert len(got) == 500
+
+
 def test_batches_without_limit(spark):
     assert {r.batch for r in by_rows(spark.range(5), ["id"], 0, ["id"]).collect()} == {0}
 
