@@ -24,7 +24,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
@@ -39,7 +39,6 @@ PIECE_WORDS = 5_000
 #: Documents of which more than this share is hit are dropped whole.
 MOST_HIT = 0.5
 
-INTS = T.ArrayType(T.IntegerType())
 _SPLIT = bytes(
     c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256)
 )
@@ -190,36 +189,59 @@ def _shards(benchmark: DataFrame) -> Iterator[list[tuple[str, list[bytes], bool]
         yield [(r["item"], [bytes(w) for w in r["words"]], r["whole"]) for r in part]
 
 
+def _digest_of(spans: list[tuple[int, int]], items: set[str]) -> tuple[int, int, str]:
+    """n_hit, n_items, items_sha256 of spans that are apart."""
+    sha = hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()
+    return sum(b - a for a, b in spans), len(items), sha
+
+
+def _cut_out(text: str, starts: list[int], ends: list[int]) -> str:
+    """``text`` without the words of the spans and what lies between them."""
+    at = np.array([m.span() for m in _WORD.finditer(text)])
+    kept, last = [], 0
+    for a, b in zip(starts, ends, strict=True):
+        kept.append(text[last : at[a][0]])
+        last = at[b - 1][1]
+    return "".join([*kept, text[last:]])
+
+
+INTS = T.ArrayType(T.IntegerType())
+DIGEST = {"starts": INTS, "ends": INTS, "n_hit": T.LongType(), "n_items": T.LongType(), "items_sha256": T.StringType()}
+FOUND = DIGEST | {"n_words": T.LongType(), "items": T.ArrayType(T.StringType()), "clean": T.StringType()}
+_ARROW = {T.LongType(): pa.int64(), T.StringType(): pa.string(), INTS: pa.list_(pa.int32())}
+
+
+def _struct(kinds: dict[str, T.DataType]) -> T.StructType:
+    return T.StructType([T.StructField(k, v) for k, v in kinds.items()])
+
+
+def _arrow(kinds: dict[str, T.DataType], rows: list[tuple]) -> pa.StructArray:
+    columns = list(zip(*rows, strict=True)) or [[]] * len(kinds)
+    arrays = [pa.array(c, _ARROW.get(k, pa.list_(pa.string()))) for c, k in zip(columns, kinds.values(), strict=True)]
+    return pa.StructArray.from_arrays(arrays, list(kinds))
+
+
 def _scanner(docs: DataFrame, shard: list[tuple[str, list[bytes], bool]]):
+    """A column function: all of FOUND for a text, in one pass of one Python worker; clean is null where nothing is hit."""
     name, sent = uuid.uuid4().hex, docs.sparkSession.sparkContext.broadcast(shard)
 
-    kinds = {"n_words": T.LongType(), "starts": INTS, "ends": INTS, "items": T.ArrayType(T.StringType())}
-
-    @arrow_udf(T.StructType([T.StructField(k, v) for k, v in kinds.items()]))
+    @arrow_udf(_struct(FOUND))
     def scan(text: pa.Array) -> pa.Array:
-        walk, counts, found = _automaton(name, sent).scan, [], []
+        walk, rows = _automaton(name, sent).scan, []
         for t in text:
-            w = words(t.as_py())
-            counts.append(len(w))
-            found.append(walk(w))
-        starts, ends, items = ([f[k] for f in found] for k in range(3))
-        columns = [
-            pa.array(counts, pa.int64()),
-            pa.array(starts, pa.list_(pa.int32())),
-            pa.array(ends, pa.list_(pa.int32())),
-            pa.array(map(list, items), pa.list_(pa.string())),
-        ]
-        return pa.StructArray.from_arrays(columns, ["n_words", "starts", "ends", "items"])
+            own = t.as_py()
+            w = words(own)
+            starts, ends, items = walk(w)
+            told = _digest_of(list(zip(starts, ends, strict=True)), items)
+            rows.append((starts, ends, *told, len(w), list(items), _cut_out(own, starts, ends) if starts else None))
+        return _arrow(FOUND, rows)
 
     return scan.asNondeterministic()  # else Spark may run it once more for a filter
 
 
-DIGEST = {"starts": INTS, "ends": INTS, "n_hit": T.LongType(), "n_items": T.LongType(), "items_sha256": T.StringType()}
-
-
-@arrow_udf(T.StructType([T.StructField(k, v) for k, v in DIGEST.items()]))
+@arrow_udf(_struct(DIGEST))
 def _digest(starts: pa.Array, ends: pa.Array, items: pa.Array) -> pa.Array:
-    """Spans of several shards put together, and what the query returns of them."""
+    """Spans of several shards put together."""
     rows = []
     for s, e, names in zip(starts.to_pylist(), ends.to_pylist(), items.to_pylist(), strict=True):
         spans: list[list[int]] = []
@@ -228,44 +250,38 @@ def _digest(starts: pa.Array, ends: pa.Array, items: pa.Array) -> pa.Array:
                 spans[-1][1] = max(b, spans[-1][1])
             else:
                 spans.append([a, b])
-        names = sorted(set(names))
-        sha = hashlib.sha256(",".join(names).encode()).hexdigest()
-        rows.append(([a for a, _ in spans], [b for _, b in spans], sum(b - a for a, b in spans), len(names), sha))
-    kinds = [pa.list_(pa.int32()), pa.list_(pa.int32()), pa.int64(), pa.int64(), pa.string()]
-    columns = list(zip(*rows, strict=True)) or [[]] * 5
-    return pa.StructArray.from_arrays(
-        [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-        ["starts", "ends", "n_hit", "n_items", "items_sha256"],
-    )
+        rows.append(([a for a, _ in spans], [b for _, b in spans], *_digest_of(spans, set(names))))
+    return _arrow(DIGEST, rows)
+
+
+@arrow_udf(T.StringType())
+def _without(text: pa.Array, starts: pa.Array, ends: pa.Array) -> pa.Array:
+    rows = zip(text.to_pylist(), starts.to_pylist(), ends.to_pylist(), strict=True)
+    return pa.array([_cut_out(t, s, e) if s else None for t, s, e in rows], pa.string())
 
 
 def _with_hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` with a struct column ``_hits``: n_words, starts, ends, n_hit, n_items, items_sha256."""
+    """``docs`` with a struct column ``_hits``: n_words, DIGEST and clean (the text without hits, null if there are none)."""
     shards = _shards(benchmark)
     scan = _scanner(docs, next(shards))
     more = [_scanner(docs, shard) for shard in shards]
     rows = docs.withColumn("_scan", scan("text"))
-    starts, ends, items = (F.col(f"_scan.{x}") for x in ("starts", "ends", "items"))
-    if more:
-        key = [F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_key")]
-        found = None
-        for other in more:
-            part = docs.select("doc_id", "text", other("text").alias("_more")).filter(F.size("_more.starts") > 0)
-            part = part.select(*key, "_more.starts", "_more.ends", "_more.items").dropDuplicates(["_id", "_key"])
-            found = part if found is None else found.unionByName(part)
-        found = found.groupBy("_id", "_key").agg(
-            *(F.flatten(F.collect_list(x)).alias(f"_{x}") for x in ("starts", "ends", "items"))
-        )
-        met = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_key"))
-        rows = rows.join(cut(found), met, "left")
-        none = {"starts": "array<int>", "ends": "array<int>", "items": "array<string>"}
-        starts, ends, items = (
-            F.concat(old, F.coalesce(F.col(f"_{x}"), F.array().cast(none[x])))
-            for x, old in (("starts", starts), ("ends", ends), ("items", items))
-        )
-    rows = rows.withColumn("_digest", _digest.asNondeterministic()(starts, ends, items))
-    hits = F.struct(F.col("_scan.n_words").alias("n_words"), "_digest.*").alias("_hits")
-    return rows.select(*docs.columns, hits)
+    if not more:
+        return rows.select(*docs.columns, F.col("_scan").alias("_hits"))
+    key = [F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_key")]
+    found = None
+    for other in more:
+        part = docs.select("doc_id", "text", other("text").alias("_more")).filter(F.size("_more.starts") > 0)
+        part = part.select(*key, "_more.starts", "_more.ends", "_more.items").dropDuplicates(["_id", "_key"])
+        found = part if found is None else found.unionByName(part)
+    kinds = {"starts": "array<int>", "ends": "array<int>", "items": "array<string>"}
+    found = found.groupBy("_id", "_key").agg(*(F.flatten(F.collect_list(x)).alias(f"_{x}") for x in kinds))
+    met = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_key"))
+    rows = rows.join(cut(found), met, "left")
+    every = [F.concat(F.col(f"_scan.{x}"), F.coalesce(F.col(f"_{x}"), F.array().cast(k))) for x, k in kinds.items()]
+    rows = rows.withColumn("_digest", _digest.asNondeterministic()(*every))
+    clean = _without(F.col("text"), F.col("_digest.starts"), F.col("_digest.ends")).alias("clean")
+    return rows.select(*docs.columns, F.struct(F.col("_scan.n_words").alias("n_words"), "_digest.*", clean).alias("_hits"))
 
 
 def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -279,21 +295,6 @@ def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
 
 
-@arrow_udf(T.StringType())
-def _without(text: pa.Array, starts: pa.Array, ends: pa.Array) -> pa.Array:
-    out = []
-    for t, s, e in zip(text.to_pylist(), starts.to_pylist(), ends.to_pylist(), strict=True):
-        if s:
-            at = np.array([m.span() for m in _WORD.finditer(t)])
-            kept, last = [], 0
-            for a, b in zip(s, e, strict=True):
-                kept.append(t[last : at[a][0]])
-                last = at[b - 1][1]
-            t = "".join([*kept, t[last:]])
-        out.append(t)
-    return pa.array(out, pa.string())
-
-
 def decontaminate(docs: DataFrame, benchmark: DataFrame, most_hit: float = MOST_HIT) -> DataFrame:
     """``docs`` without hit spans; documents of which more than ``most_hit`` is hit are dropped.
 
@@ -303,8 +304,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, most_hit: float = MOST_
     share = F.col("_hits.n_hit") / F.greatest(F.col("_hits.n_words"), F.lit(1))
     rows = rows.filter(share <= most_hit)
     hit = F.col("_hits.n_hit") > 0
-    text: Column = _without(F.col("text"), F.col("_hits.starts"), F.col("_hits.ends"))
-    rows = rows.withColumn("text", text)
+    rows = rows.withColumn("text", F.coalesce(F.col("_hits.clean"), F.col("text")))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         rows = rows.withColumn("n_chars", F.when(hit, F.char_length("text").cast(kind)).otherwise(F.col("n_chars")))

@@ -33,9 +33,9 @@ from pyspark.sql import functions as F
 CAPACITY = 2048
 END_ID = 1
 #: Tokens in a pool: 4 bytes each.
-POOL_TOKENS = 4_000_000
+POOL_TOKENS = 2_000_000
 #: Chunks whose ids a worker remembers: about 200 bytes each.
-CACHE = 1_000_000
+CACHE = 200_000
 #: Rows tokenized at once.
 ROWS = 256
 #: Separators that Python's split() takes for white space and the tokenizer does not.

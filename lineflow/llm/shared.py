@@ -113,5 +113,8 @@ def drop_rows(docs: DataFrame, drops: DataFrame, text_key: Column) -> DataFrame:
         named, F.col("doc_id").eqNullSafe(F.col("_drop_id")) & F.col("_key").eqNullSafe(F.col("_drop_key")), "left"
     )
     free = told.filter(F.col("_spare").isNull()).select(*docs.columns)
+    kept = clear.unionByName(free)
+    if drops.filter("spare").isEmpty():
+        return kept
     one = told.filter(F.col("_spare")).dropDuplicates(["doc_id", "_key"]).select(*docs.columns)
-    return clear.unionByName(free).unionByName(one)
+    return kept.unionByName(one)
