@@ -26,6 +26,7 @@ from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,13 +36,13 @@ END_ID = 1
 #: Tokens in a pool: 4 bytes each.
 POOL_TOKENS = 2_000_000
 #: Chunks whose ids a worker remembers: about 200 bytes each.
-CACHE = 200_000
-#: Rows tokenized at once.
-ROWS = 256
+CACHE = 400_000
+#: Characters tokenized at once, and one text more.
+AT_ONCE = 2_000_000
 #: Separators that Python's split() takes for white space and the tokenizer does not.
 ODD_SPACE = re.compile("[\x1c-\x1f]")
-#: Marks that end a chunk as one token after letters: no apostrophe, which may begin a contraction.
-MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Where letters end and marks begin, a token ends: no apostrophe, which may begin a contraction.
+EDGE = r"(\pL)([!\"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~])"
 
 _known: dict[str, Encoder] = {}
 
@@ -52,7 +53,8 @@ class Encoder:
     The tokenizer neither joins nor compares characters across white space, so it runs once
     on each distinct chunk between white space, and texts are put together from these.
     Two steps that leave ids as they are make its runs fewer: texts are lower-cased, as the
-    tokenizer does, and a new chunk of letters and then marks is put together from both.
+    tokenizer does, and marks behind letters are chunks of their own.  Texts that may hold a
+    special token ("<|") are spared both.
     """
 
     def __init__(self, path: str):
@@ -79,50 +81,61 @@ class Encoder:
         whole, ends = ids.tobytes(), ends.tolist()
         return [whole[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
-    def _learn(self, chunks: set[str]) -> None:
-        words, rest, joined = set(), set(), []
-        for x in chunks:
-            if x.isalpha():
-                words.add(x)
-            elif (base := x.rstrip(MARKS)) != x and base.isalpha():
-                words.add(base)
-                rest.add(x[len(base) :])
-                joined.append((x, base))
-            else:
-                rest.add(x)
+    def _learn(self, chunks: list[str]) -> None:
+        words = [x for x in chunks if x.isalpha()]
+        rest = [x for x in chunks if not x.isalpha()]
         for kind, run, size in ((words, self._words, 256), (rest, self._each, 2048)):
-            kind = [x for x in kind if x not in self.young]
             for i in range(0, len(kind), size):
                 part = kind[i : i + size]
                 self.young.update(zip(part, run(part), strict=True))
-        for x, base in joined:
-            self.young[x] = self.young[base] + self.young[x[len(base) :]]
 
     @staticmethod
-    def _chunks(text: str) -> list[str] | None:
+    def _plain(text: str) -> str | None:
+        """``text`` in a form that may be split at white space; None: it may not."""
         if ODD_SPACE.search(text):
             return None
         low = text.lower()
         if "<|" in text:
-            pass  # lower case could make a special token of it
-        elif text.isascii() or "\u03a3" not in text and is_normalized("NFC", text) and is_normalized("NFC", low):
-            text = low
-        return text.split()
+            return text  # lower case could make a special token of it
+        if text.isascii() or "\u03a3" not in text and is_normalized("NFC", text) and is_normalized("NFC", low):
+            return low
+        return text
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        split = [self._chunks(t) for t in texts]
+    def _known(self, chunks: list[str]) -> list[bytes]:
+        """Ids of distinct chunks, from the cache where it has them."""
         if len(self.young) > CACHE // 2:
             self.young, self.old = {}, self.young
-        young, old, new = self.young, self.old, set()
-        for x in set().union(*(x for x in split if x)):
-            if x not in young:  # not a difference of key views: that goes through all keys
+        young, old, new = self.young, self.old, []
+        for x in chunks:
+            if x not in young:
                 if x in old:
                     young[x] = old[x]
                 else:
-                    new.add(x)
+                    new.append(x)
         self._learn(new)
-        get = self.young.__getitem__
-        return [self._each([t])[0] if x is None else b"".join(map(get, x)) for t, x in zip(texts, split, strict=True)]
+        return list(map(self.young.__getitem__, chunks))
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text: distinct chunks are looked up, the rest is array work."""
+        plain = [self._plain(t) for t in texts]
+        whole = pa.array([x or "" for x in plain], pa.string())
+        apart = pc.replace_substring_regex(whole, EDGE, r"\1 \2")
+        apart = pc.if_else(pa.array(["<|" in t for t in texts], pa.bool_()), whole, apart)
+        split = pc.utf8_split_whitespace(apart)
+        coded = split.flatten().dictionary_encode()
+        ids = self._known(coded.dictionary.to_pylist())
+        at = coded.indices.to_numpy()
+        sizes = np.fromiter((len(x) // 4 for x in ids), np.int64, len(ids))
+        firsts = np.cumsum(sizes) - sizes
+        ends = np.cumsum(sizes[at])
+        whole = np.arange(ends[-1] if len(ends) else 0)
+        whole += np.repeat(firsts[at] - ends + sizes[at], sizes[at])
+        whole = np.frombuffer(b"".join(ids), "<u4")[whole]
+        bounds = np.append(0, ends)[split.offsets.to_numpy()].tolist()
+        return [
+            self._each([t])[0] if x is None else whole[a:b].tobytes()
+            for t, x, a, b in zip(texts, plain, bounds, bounds[1:], strict=False)
+        ]
 
 
 def encoder(path: str) -> Encoder:
@@ -207,6 +220,21 @@ def _powers(pieces: list[tuple[int, int, int]]) -> list[list[tuple[int, int, int
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int | None], list[str]]]:
+    """Ids and texts of rows, cut where AT_ONCE characters are reached."""
+    docs, texts, size = [], [], 0
+    for batch in batches:
+        for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
+            docs.append(doc)
+            texts.append(text.as_py() or "")
+            size += len(texts[-1])
+            if size >= AT_ONCE:
+                yield docs, texts
+                docs, texts, size = [], [], 0
+    if docs:
+        yield docs, texts
+
+
 def _pack(path: str, with_ids: bool):
     fields = [pa.field(x.split()[0], pa.int64()) for x in SCHEMA.split(", ")]
     schema = pa.schema(fields + [pa.field("ids", pa.list_(pa.int64()))] * with_ids)
@@ -228,17 +256,14 @@ def _pack(path: str, with_ids: bool):
         encode, pool, held = encoder(path), [], 0
         number = TaskContext.get().partitionId() << 40
         end = np.array([END_ID], "<u4").tobytes()
-        for batch in batches:
-            for i in range(0, batch.num_rows, ROWS):
-                part = batch.slice(i, ROWS)
-                texts = [t or "" for t in part.column("text").to_pylist()]
-                for doc, ids in zip(part.column("doc_id").to_pylist(), encode(texts), strict=True):
-                    pool.append((doc, ids + end))
-                    held += len(ids) // 4 + 1
-                    if held >= POOL_TOKENS:
-                        out, number = emit(pool, number)
-                        yield out
-                        pool, held = [], 0
+        for docs, texts in _parts(batches):
+            for doc, ids in zip(docs, encode(texts), strict=True):
+                pool.append((doc, ids + end))
+                held += len(ids) // 4 + 1
+                if held >= POOL_TOKENS:
+                    out, number = emit(pool, number)
+                    yield out
+                    pool, held = [], 0
         if pool:
             yield emit(pool, number)[0]
 

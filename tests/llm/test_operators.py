@@ -115,6 +115,9 @@ def test_fill_is_closest_to_capacity():
 def test_chunks_have_the_tokenizer_s_ids():
     encode = packing.encoder(tokenizer_path())
     odd = ["a\x1cb c", "<|endoftext|> x", "<|EndOfText|>", "É É é", "İstanbul ΣΑΣ", "it's DON'T 'll 12345 $$!!", "a.. b., c.” d.", "². x_. ̸= H̱"]
+    rng = random.Random(3)
+    odd += ["".join(rng.choices("abSé1²'',.-<|>=_ \n\x85\u0338\u0301ß", k=12)) for _ in range(400)]
+    assert encode(odd) == [encode([t])[0] for t in odd]
     for t in odd:
         assert encode([t])[0] == np.array(encode.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes(), t
 
