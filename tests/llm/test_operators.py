@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import textwrap
 import zlib
 from collections import defaultdict
 
@@ -168,6 +169,25 @@ def test_licenses(spark, none, odd):
     assert license_scan.scan(none).count() == 0 and license_scan.scan(odd).count() == 0
 
 
+def test_licenses_in_any_wrapping_and_each_notice(spark):
+    t = license_scan.TEMPLATES
+    lines = textwrap.wrap(t["MIT-text"], 72)
+    words = [f"w{i % 97}" for i in range(2000)]
+    apart = "\n\n".join([*lines[:5], "", *lines[5:]])
+    rows = [
+        (1, "prose\n" + "\n".join(lines)), (2, "# " + "\n# ".join(textwrap.wrap(t["ISC-text"], 40))), (3, apart),
+        (4, " ".join([*words[:1000], t["GPL-2.0"], *words[1000:]])), (5, "\n".join([t["MIT"], t["CC-BY-4.0"], t["MIT"], *lines])),
+        (6, "All rights reserved. All rights reserved."), (7, t["Apache-2.0-header"].replace("software", "softwares")),
+        (8, t["AGPL-3.0"] + " " + t["GPL-3.0"]), (9, " ".join(["the license"] * 9000) + "\n" + "\n".join(lines)),
+    ]
+    got = license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.line, r.license, r.missing + r.added) for r in got) == [
+        (1, 1, "MIT-text", 0), (2, 0, "ISC-text", 0), (3, 0, "MIT-text", 0), (4, 0, "GPL-2.0", 0), (5, 0, "MIT", 0), (5, 1, "CC-BY-4.0", 0),
+        (5, 2, "MIT", 0), (5, 3, "MIT-text", 0), (6, 0, "Proprietary", 0), (6, 0, "Proprietary", 0), (7, 0, "Apache-2.0-header", 2),
+        (8, 0, "AGPL-3.0", 0), (8, 0, "GPL-3.0", 0), (9, 1, "MIT-text", 0),
+    ]
+
+
 # --- 4: decontamination ---
 
 
