@@ -5,11 +5,14 @@ word beginnings (PREFIXES letters) of a lexicon, and the document's score is the
 document labels are learned from; the sentences with high scores are then the offending ones.
 
 * Learning takes labelled rows whose crc32(doc_id as text) mod 4 is not 2, at most
-  MOST_EACH of either label (those with the least hash of their id), copies once.
+  MOST_EACH of either label (those with the least hash of their id), copies once.  Where a label
+  is over this bound, its sampled rows weigh as much as all its rows: weight = labelled rows of the label /
+  sampled ones.  So the share of toxic documents that is learned is that of the labels at any size.
 * The lexicon holds at most LEXICON words and beginnings that occur in more toxic documents than chance
   allows: with df documents of which a share s is toxic, against a rate r of all, chance
   gives that with a probability of at most exp(-df * KL(s, r)) (Chernoff), which must be
-  below one by the number of words.
+  below one by the number of words.  This counts sampled documents without weights, as the bound holds for
+  documents that were seen; whether s is above r is the same either way.
 * Weights come from gradient descent; each step is one Spark job over the lexicon words of
   the sample's sentences, of which the driver sees sums only.
 
@@ -72,14 +75,17 @@ def held_out() -> Column:
 
 
 def sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(text, toxic) of the rows that are learned from."""
+    """(text, toxic, weight) of the rows that are learned from."""
     known = labels.select(F.col("doc_id").cast("long"), F.col("toxic").cast("int").alias("toxic"))
     known = known.filter("doc_id is not null and toxic is not null").filter(~held_out())
     known = cut(known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
+    rows = dict(known.groupBy("toxic").count().collect())
     few = [known.filter(F.col("toxic") == x).orderBy(F.xxhash64("doc_id"), "doc_id").limit(MOST_EACH) for x in (0, 1)]
     few = cut(few[0].unionByName(few[1]))  # at most 2 * MOST_EACH pairs of numbers
-    rows = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(few), "doc_id")
-    return rows.groupBy(F.sha2("text", 256).alias("copy")).agg(F.first("text").alias("text"), F.max("toxic").alias("toxic"))
+    met = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(few), "doc_id")
+    met = met.groupBy(F.sha2("text", 256).alias("copy")).agg(F.first("text").alias("text"), F.max("toxic").alias("toxic"))
+    weigh = lambda x: F.lit(max(1.0, rows.get(x, 0) / MOST_EACH))
+    return met.withColumn("weight", F.when(F.col("toxic") == 1, weigh(1)).otherwise(weigh(0)))
 
 
 def _distinct_traits(batches):
@@ -117,15 +123,15 @@ def _features(number: dict[str, int]):
     def run(batches):
         for batch in batches:
             rows = []
-            for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
+            for text, toxic, weight in zip(*(batch.column(k).to_pylist() for k in ("text", "toxic", "weight")), strict=True):
                 at, word = [], []
                 for k, s in enumerate(_words(text, _SENTENCES).split("\n")):
                     own = [number[x] for w in set(s.split()) for x in _traits(w) if x in number]
                     at += [k] * len(own)
                     word += sorted(own)
-                rows.append((toxic, at, word))
-            kinds = [pa.int32(), pa.list_(pa.int32()), pa.list_(pa.int32())]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["toxic", "sentence", "word"])
+                rows.append((toxic, weight, at, word))
+            kinds = [pa.int32(), pa.float64(), pa.list_(pa.int32()), pa.list_(pa.int32())]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["toxic", "weight", "sentence", "word"])
 
     return run
 
@@ -136,7 +142,7 @@ def _gradient(weights: np.ndarray):
     def run(batches):
         total = np.zeros(len(weights))
         for batch in batches:
-            for toxic, at, word in zip(*(batch.column(k).to_pylist() for k in ("toxic", "sentence", "word")), strict=True):
+            for toxic, weight, at, word in zip(*(batch.column(k).to_pylist() for k in ("toxic", "weight", "sentence", "word")), strict=True):
                 if not word:
                     continue
                 starts = np.flatnonzero(np.diff(at, prepend=-1))
@@ -147,6 +153,7 @@ def _gradient(weights: np.ndarray):
                     step = p * clear / max(1 - clear, 1e-12)
                 else:
                     step = -p
+                step = weight * step
                 np.add.at(total, word, np.repeat(step, np.diff([*starts, len(word)])))
                 total[-1] += step.sum()
         yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], pa.list_(pa.float64()))], ["gradient"])
@@ -161,8 +168,8 @@ def learn(docs: DataFrame, labels: DataFrame) -> dict[str, float]:
     if not words:
         return {}
     number = {w: k for k, w in enumerate(words)}
-    bags = cut(rows.mapInArrow(_features(number), "toxic int, sentence array<int>, word array<int>"))
-    n = bags.count()
+    bags = cut(rows.mapInArrow(_features(number), "toxic int, weight double, sentence array<int>, word array<int>"))
+    n = bags.agg(F.sum("weight")).first()[0]
     weights, speed, power = np.zeros(len(words) + 1), np.zeros(len(words) + 1), np.zeros(len(words) + 1)
     weights[-1] = -2.0
     for step in range(1, STEPS + 1):  # Adam

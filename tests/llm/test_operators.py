@@ -522,6 +522,21 @@ def test_labels_of_held_out_rows_are_not_learned_from(spark):
     assert plain(toxicity.scores(docs, labels).collect()) == plain(toxicity.scores(docs, turned).collect())
 
 
+def test_a_bounded_sample_learns_the_share_of_the_labels(spark, monkeypatch):
+    rng = random.Random(3)
+    rows = [(d, " ".join(rng.choice("abcdefghij") for _ in range(9)) + f" n{d}" + " grub" * (d % 9 == 0 or d % 8 < 3)) for d in range(2700)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(d, int(d % 9 == 0)) for d, _ in rows], "doc_id long, toxic int")
+    whole = {r.doc_id: r.score for r in toxicity.scores(docs, labels).collect()}
+    monkeypatch.setattr(toxicity, "MOST_EACH", 150)
+    sums = {r.toxic: r.w for r in toxicity.sample(docs, labels).groupBy("toxic").agg(F.sum("weight").alias("w")).collect()}
+    known = labels.filter(~toxicity.held_out()).groupBy("toxic").count().collect()
+    assert sums == pytest.approx({r.toxic: r["count"] for r in known})
+    some = {r.doc_id: r.score for r in toxicity.scores(docs, labels).collect()}
+    assert 0.15 < max(whole.values()) < toxicity.THRESHOLD  # a quarter of the documents with this word are toxic
+    assert 0.15 < max(some.values()) < toxicity.THRESHOLD
+
+
 def test_toxicity_odd_rows(spark, odd, none):
     labels = spark.createDataFrame([(1, 1), (4, 0), (4, None), (None, 1)], "doc_id long, toxic int")
     for given in (labels, labels.filter("false")):
