@@ -11,6 +11,11 @@ Per fingerprint the first occurrence, in the order of (doc_id, place), is kept;
 later one is aligned with it and extended both ways while lines are equal.  The lines of these
 runs are deleted from the later place.  A single short line that recurs ("Yes.") stays.
 
+That tries one partner a fingerprint, so a run can lose a line whose pair first occurred
+elsewhere, and runs of two lines go or stay by chance.  ``whole=True``, which the query uses, is exact instead:
+the smaller pair of each window and the line beside it are one key with its own first occurrence, so
+exactly the lines of three-line runs that occurred before, and LONG lines that did, are deleted.
+
 Only hashes are shuffled until texts of documents with runs are rewritten.  Fingerprints
 and first documents that many rows share are broadcast (at most HOT_KEYS keys) or salted.
 
@@ -93,9 +98,33 @@ def _same(a: Column, b: Column) -> Column:
     return F.when(n == 0, F.lit(0).cast("long")).when(miss == 0, n.cast("long")).otherwise(miss - 1)
 
 
-def runs(docs: DataFrame) -> DataFrame:
-    """(doc, text_key, spans, removed): which lines, counted without blank ones, are later repeats."""
-    rows = cut(_hashed(docs))
+def _windows(rows: DataFrame) -> DataFrame:
+    """(doc, text_key, key, at, lines) of all three-line runs, by fingerprint and the line beside it, and of long lines."""
+    n = F.size("h")
+
+    def three(i: Column) -> Column:
+        x, y, z = (F.get("h", i + k) for k in range(3))
+        a, b = F.xxhash64(x, y), F.xxhash64(y, z)
+        key = F.when(b <= a, F.xxhash64(x, b, F.lit("before"))).otherwise(F.xxhash64(a, z, F.lit("behind")))
+        return F.struct(key.alias("key"), i.alias("at"), F.lit(3).alias("lines"))
+
+    places = F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)))
+    runs = F.transform(F.filter(places, lambda i: i + 2 < n), three)
+    long = F.filter(places, lambda i: F.coalesce(F.get("long", i), F.lit(False)))
+    one = F.transform(long, lambda i: F.struct(F.xxhash64(F.get("h", i), F.lit("long")).alias("key"), i.alias("at"), F.lit(1).alias("lines")))
+    return rows.select("doc", "text_key", F.explode(F.concat(runs, one)).alias("f")).select("doc", "text_key", "f.*")
+
+
+def _whole_spans(rows: DataFrame) -> DataFrame:
+    """(doc, text_key, start, last) of each three-line run and long line that occurred before."""
+    prints = cut(_windows(rows))
+    first = prints.groupBy("key").agg(F.min(F.struct("doc", "at")).alias("first"), F.count("*").alias("n"))
+    met = lookup(prints, cut(first.filter("n > 1")), "key", prints.count()).filter(F.struct("doc", "at") > F.col("first"))
+    return met.select("doc", "text_key", F.col("at").alias("start"), (F.col("at") + F.col("lines") - 1).alias("last"))
+
+
+def _aligned_spans(rows: DataFrame) -> DataFrame:
+    """(doc, text_key, start, last) of each fingerprint's run, aligned with its first occurrence."""
     prints = cut(_fingerprints(rows))
     first = prints.groupBy("key").agg(F.min(F.struct("doc", "at")).alias("first"), F.count("*").alias("n"))
     first = cut(first.filter("n > 1"))
@@ -116,7 +145,13 @@ def runs(docs: DataFrame) -> DataFrame:
     met = met.select("doc", "text_key", "h", "h0", F.explode("seeds").alias("s")).select("doc", "text_key", "h", "h0", "s.*")
     ahead = _same(F.slice("h", F.col("at") + 1, F.size("h")), F.slice("h0", F.col("from_at") + 1, F.size("h0")))
     behind = _same(F.reverse(F.slice("h", F.lit(1), F.col("at"))), F.reverse(F.slice("h0", F.lit(1), F.col("from_at"))))
-    spans = met.select("doc", "text_key", (F.col("at") - behind).alias("start"), (F.col("at") + ahead - 1).alias("last"))
+    return met.select("doc", "text_key", (F.col("at") - behind).alias("start"), (F.col("at") + ahead - 1).alias("last"))
+
+
+def runs(docs: DataFrame, whole: bool = False) -> DataFrame:
+    """(doc, text_key, spans, removed): which lines, counted without blank ones, are later repeats."""
+    rows = cut(_hashed(docs))
+    spans = _whole_spans(rows) if whole else _aligned_spans(rows)
     in_order = Window.partitionBy("doc", "text_key").orderBy("start", "last")  # a document's own spans
     reached = F.max("last").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
     spans = spans.distinct().withColumn("reached", reached)
@@ -129,9 +164,9 @@ def runs(docs: DataFrame) -> DataFrame:
     )
 
 
-def line_dedup(docs: DataFrame) -> DataFrame:
+def line_dedup(docs: DataFrame, whole: bool = False) -> DataFrame:
     """``docs`` with a column ``removed`` (number of lines), and texts without later repeats."""
-    found = cut(runs(docs))
+    found = cut(runs(docs, whole))
     doc = F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))
     none = F.lit(0).alias("removed")
     count = found.count()

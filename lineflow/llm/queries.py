@@ -71,7 +71,7 @@ FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 
 
 def op5_winnowing_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = line_dedup.line_dedup(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = line_dedup.line_dedup(_read(spark, sf_dir, "documents").select("doc_id", "text"), whole=True)
     kept = F.sha2(F.coalesce("text", F.lit("")), 256)
     return found.select("doc_id", "removed", F.char_length("text").cast("long").alias("kept_chars"), kept.alias("kept_sha256"))
 

@@ -300,6 +300,28 @@ def test_line_dedup_against_brute_force(spark, docs, made, monkeypatch):
         assert (got[d].removed, got[d].text) == (len(gone[d]), "\n".join(kept))
 
 
+def test_whole_line_dedup_against_all_three_line_runs(spark):
+    rng = random.Random(9)
+    docs = {d: "\n".join(rng.choice(["a", "b", "c d", " ", "long " * 26, "e", "f"]) for _ in range(rng.randint(0, 14))) for d in range(60)}
+    docs |= {100 + d: f"head one\nhead two\nthird {d % 7}\nown {d}\nown {d * d}" for d in range(40)}
+    table = spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r for r in line_dedup.line_dedup(table, whole=True).collect()}
+    seen = set()
+    for d, t in sorted(docs.items()):
+        form = [" ".join(x.split()) for x in t.split("\n")]
+        real, gone = [i for i, x in enumerate(form) if x], set()
+        for k, i in enumerate(real):
+            for size in (3, 1):
+                own = real[k : k + size]
+                key = tuple(form[x] for x in own)
+                if len(own) == size and (size == 3 or len(form[i].split(" ")) >= line_dedup.LONG):
+                    gone |= set(own) if key in seen else set()
+                    seen.add(key)
+        kept = "\n".join(x for i, x in enumerate(t.split("\n")) if i not in gone)
+        assert (got[d].removed, got[d].text) == (len(gone), kept)
+    assert got[139].removed == 3 and got[139].text == "own 39\nown 1521"
+
+
 def test_line_dedup_odd_rows(odd, none):
     got = line_dedup.line_dedup(odd)
     assert got.columns == [*odd.columns, "removed"]
