@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
-from lineflow.llm.shared import cut
+from lineflow.llm.shared import cut, held, text_batches
 
 WINDOW = 10
 #: Item words in one automaton: about 1 kB each in a worker.
@@ -148,15 +148,9 @@ class Automaton:
         return [s for s, _ in spans], [e for _, e in spans], items
 
 
-_built: dict[str, Automaton] = {}
-
-
 def _automaton(name: str, sent: Broadcast) -> Automaton:
-    """The automaton of a broadcast shard, built once in this Python worker; only the last one is kept."""
-    if name not in _built:
-        _built.clear()
-        _built[name] = Automaton(sent.value)
-    return _built[name]
+    """The automaton of a broadcast shard, built once in this Python worker."""
+    return held(f"automaton {name}", lambda: Automaton(sent.value))
 
 
 def _shards(benchmark: DataFrame) -> Iterator[list[tuple[str, list[bytes], bool]]]:
@@ -223,6 +217,7 @@ def _arrow(kinds: dict[str, T.DataType], rows: list[tuple]) -> pa.StructArray:
 
 def _scanner(docs: DataFrame, shard: list[tuple[str, list[bytes], bool]]):
     """A column function: all of FOUND for a text, in one pass of one Python worker; clean is null where nothing is hit."""
+    text_batches(docs.sparkSession)
     name, sent = uuid.uuid4().hex, docs.sparkSession.sparkContext.broadcast(shard)
 
     @arrow_udf(_struct(FOUND))

@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
+from lineflow.llm.shared import held, text_batches
+
 TOP = 300
 #: Documents of a language that its profile is learned from, in expectation.
 MOST_EACH = 10_000
@@ -91,6 +93,7 @@ def _counts(batches):
 
 def learn(docs: DataFrame) -> dict[str, list[int]]:
     """The profile of each language: n-gram codes, most frequent first."""
+    text_batches(docs.sparkSession)
     known = docs.select(F.col("doc_id").cast("long"), "text", F.col("lang").cast("string"))
     known = known.filter("lang is not null and text is not null").filter(~held_out())
     sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
@@ -121,16 +124,10 @@ def nearest(own: np.ndarray, profiles: dict[str, tuple[np.ndarray, np.ndarray]])
     return found[0][1], second / (first + second) if first + second else 1.0
 
 
-_ready: dict[str, dict] = {}
-
-
-def _sorted_profiles(name: str, profiles: dict[str, list[int]]) -> dict[str, tuple[np.ndarray, np.ndarray]]:
-    """Codes in order and their places, kept in this Python worker for the last predictor."""
-    if name not in _ready:
-        _ready.clear()
-        order = {k: np.argsort(np.array(v, np.int64)) for k, v in profiles.items()}
-        _ready[name] = {k: (np.array(v, np.int64)[order[k]], order[k]) for k, v in profiles.items()}
-    return _ready[name]
+def _sorted_profiles(profiles: dict[str, list[int]]) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """Codes in order and their places."""
+    order = {k: np.argsort(np.array(v, np.int64)) for k, v in profiles.items()}
+    return {k: (np.array(v, np.int64)[order[k]], order[k]) for k, v in profiles.items()}
 
 
 PREDICTED = T.StructType([T.StructField("lang", T.StringType()), T.StructField("score", T.DoubleType())])
@@ -142,7 +139,7 @@ def predictor(profiles: dict[str, list[int]]):
 
     @arrow_udf(PREDICTED)
     def predict(text: pa.Array) -> pa.Array:
-        ready = _sorted_profiles(name, profiles)
+        ready = held(f"profiles {name}", lambda: _sorted_profiles(profiles))
         langs, scores = [], []
         for t in text:
             codes = grams(t.as_py())

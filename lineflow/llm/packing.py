@@ -11,12 +11,15 @@ capacity; backtracking gives the counts, and the pattern repeats as often as the
 allow.  Where slack stays, the smallest remaining piece is cut to fill it.  The pool's last
 window, if not full, is cut at powers of two, which need no padding.
 
+Which documents share a sequence depends on how Spark splits the table; every id is in one piece whatever it does.
+
 Null texts count as empty: they hold the end id only.  Repeated rows are packed each by
 itself, null doc_ids too.  Extra columns are ignored.  An empty table gives no pieces.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -31,30 +34,46 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lineflow.llm.shared import held, text_batches
+
 CAPACITY = 2048
 END_ID = 1
 #: Tokens in a pool: 4 bytes each.
 POOL_TOKENS = 2_000_000
-#: Chunks whose ids a worker remembers: about 200 bytes each.
-CACHE = 400_000
+#: Bytes of chunks and their ids that a worker remembers.
+CACHE_BYTES = 48_000_000
+#: What a remembered chunk takes besides its characters and ids.
+ENTRY_BYTES = 190
 #: Characters tokenized at once, and one text more.
-AT_ONCE = 2_000_000
+AT_ONCE = 500_000
 #: Separators that Python's split() takes for white space and the tokenizer does not.
 ODD_SPACE = re.compile("[\x1c-\x1f]")
 #: Where letters end and marks begin, a token ends: no apostrophe, which may begin a contraction.
 EDGE = r"(\pL)([!\"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~])"
 
-_known: dict[str, Encoder] = {}
+# The steps of the tokenizers whose texts may be cut into chunks.
+CUTTABLE = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
+WORD_END = "</w>"
+SPECIAL_START = "<|"
 
 
 class Encoder:
     """Token ids as little-endian 32-bit bytes.
 
-    The tokenizer neither joins nor compares characters across white space, so it runs once
+    A tokenizer of the steps CUTTABLE neither joins nor compares characters across white space, so it runs once
     on each distinct chunk between white space, and texts are put together from these.
     Two steps that leave ids as they are make its runs fewer: texts are lower-cased, as the
     tokenizer does, and marks behind letters are chunks of their own.  Texts that may hold a
-    special token ("<|") are spared both.
+    special token ("<|") are spared both.  Any other tokenizer gets whole texts.
     """
 
     def __init__(self, path: str):
@@ -62,11 +81,19 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        vocab = self.tokenizer.get_vocab()
-        self.last = np.zeros(max(vocab.values()) + 1, bool)  # ids that end a word
-        self.last[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
+        steps = json.loads(self.tokenizer.to_str())
+        special = [x["content"] for x in steps["added_tokens"]]
+        self.cuttable = (
+            all(steps[k] == v for k, v in CUTTABLE.items())
+            and steps["model"].get("end_of_word_suffix") == WORD_END
+            and all(x.startswith(SPECIAL_START) for x in special)
+        )
+        vocab = steps.pop("model").pop("vocab") if self.cuttable else {}
+        self.last = np.zeros(max(vocab.values(), default=0) + 1 + len(special), bool)  # ids that end a word
+        self.last[[i for token, i in vocab.items() if token.endswith(WORD_END)]] = True
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.size = 0
 
     def _each(self, texts: list[str]) -> list[bytes]:
         got = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -87,7 +114,9 @@ class Encoder:
         for kind, run, size in ((words, self._words, 256), (rest, self._each, 2048)):
             for i in range(0, len(kind), size):
                 part = kind[i : i + size]
-                self.young.update(zip(part, run(part), strict=True))
+                ids = run(part)
+                self.young.update(zip(part, ids, strict=True))
+                self.size += sum(map(len, part)) + sum(map(len, ids)) + ENTRY_BYTES * len(part)
 
     @staticmethod
     def _plain(text: str) -> str | None:
@@ -103,13 +132,14 @@ class Encoder:
 
     def _known(self, chunks: list[str]) -> list[bytes]:
         """Ids of distinct chunks, from the cache where it has them."""
-        if len(self.young) > CACHE // 2:
-            self.young, self.old = {}, self.young
+        if self.size > CACHE_BYTES // 2:
+            self.young, self.old, self.size = {}, self.young, 0
         young, old, new = self.young, self.old, []
         for x in chunks:
             if x not in young:
                 if x in old:
                     young[x] = old[x]
+                    self.size += len(x) + len(old[x]) + ENTRY_BYTES
                 else:
                     new.append(x)
         self._learn(new)
@@ -117,6 +147,8 @@ class Encoder:
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Ids of each text: distinct chunks are looked up, the rest is array work."""
+        if not self.cuttable:
+            return self._each(texts)
         plain = [self._plain(t) for t in texts]
         whole = pa.array([x or "" for x in plain], pa.string())
         apart = pc.replace_substring_regex(whole, EDGE, r"\1 \2")
@@ -139,9 +171,7 @@ class Encoder:
 
 
 def encoder(path: str) -> Encoder:
-    if path not in _known:
-        _known[path] = Encoder(path)
-    return _known[path]
+    return held(f"packing {path}", lambda: Encoder(path))
 
 
 def fill(counts: dict[int, int], room: int) -> dict[int, int]:
@@ -275,5 +305,6 @@ def pack(docs: DataFrame, tokenizer_path: str, with_ids: bool = False) -> DataFr
 
     ``tokenizer_path`` must be readable on the executors.
     """
+    text_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long"), "text")
     return rows.mapInArrow(_pack(tokenizer_path, with_ids), SCHEMA + ", ids array<long>" * with_ids)

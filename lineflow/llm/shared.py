@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
+from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +21,35 @@ HOT_FLOOR = 50
 BUCKET_BITS = 32768
 #: Largest key filter: 2**28 bits are 32 MB when broadcast.
 MAX_FILTER_BITS = 1 << 28
+#: Rows of texts in one Arrow batch: some MB on each side of the pipe.
+BATCH_ROWS = 1000
+
+_held: dict[str, Any] = {}
+
+
+def held(name: str, make: Callable[[], Any]) -> Any:
+    """What this Python worker keeps between tasks under ``name``; only the last name's thing is kept.
+
+    Workers outlive a stage, so whatever an earlier stage kept would count against the next one's memory.
+    """
+    if name not in _held:
+        _held.clear()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+        if trim:
+            trim(0)
+        _held[name] = make()
+    return _held[name]
+
+
+def text_batches(spark: SparkSession) -> None:
+    """Arrow batches of BATCH_ROWS rows for this session, unless it sets a number of its own.
+
+    Spark's 10,000 rows suit numbers; so many texts take tens of MB in each task and its worker.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, str(BATCH_ROWS))
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -26,6 +26,8 @@ by ``near_dedup``.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
@@ -34,20 +36,29 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lineflow.llm.shared import cut, drop_rows, lookup
+from lineflow.llm.shared import cut, drop_rows, lookup, text_batches
 
 SHINGLE = 3
 RADIUS = 3
 SEED = 42
-#: Hashes whose bits are counted at once: 64 bytes each.
-COUNT_AT_ONCE = 1 << 17
+#: Bytes of a text whose shingles are counted at once, up to the end of the word there.
+AT_ONCE = 1 << 18
+_BLANK = re.compile(rb"[\x20\x09-\x0D]")
 
 
-def fingerprint(text: str | None) -> int:
-    """SimHash of the word shingles of ``text`` as a signed 64-bit integer."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # bytes: A-Z and ASCII white space only
-    if not words:
-        return 0
+def _parts(data: bytes) -> Iterator[list[bytes]]:
+    """The words of a text in parts; each starts with the last SHINGLE - 1 words of the part before."""
+    start, last = 0, []
+    while start < len(data):
+        end = _BLANK.search(data, start + AT_ONCE)
+        end = end.start() if end else len(data)
+        words = last + data[start:end].split()
+        yield words
+        start, last = end, words[-(SHINGLE - 1) :]
+
+
+def _ones(words: list[bytes]) -> tuple[np.ndarray, int]:
+    """How many shingles have each bit set, and how many there are."""
     joined = b" ".join(words)
     sizes = np.fromiter(map(len, words), np.int64, len(words))
     ends = np.cumsum(sizes + 1) - 1
@@ -56,11 +67,24 @@ def fingerprint(text: str | None) -> int:
     digest = xxhash.xxh64_intdigest
     spans = zip(starts[: len(words) - k + 1].tolist(), ends[k - 1 :].tolist(), strict=True)
     hashes = np.array([digest(joined[s:e], SEED) for s, e in spans], dtype="<u8")
-    ones = np.zeros(64, np.int64)
-    for i in range(0, len(hashes), COUNT_AT_ONCE):
-        part = hashes[i : i + COUNT_AT_ONCE].view(np.uint8).reshape(-1, 8)
-        ones += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    bits = np.packbits(2 * ones > len(hashes), bitorder="little")
+    bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    return bits.sum(axis=0, dtype=np.int64), len(hashes)
+
+
+def fingerprint(text: str | None) -> int:
+    """SimHash of the word shingles of ``text`` as a signed 64-bit integer."""
+    data = (text or "").encode("utf-8", "surrogatepass").lower()  # bytes: A-Z and ASCII white space only
+    ones, count = np.zeros(64, np.int64), 0
+    short: list[bytes] = []  # a text of fewer words than a shingle has one shingle, all of it
+    for words in _parts(data):
+        if len(words) < SHINGLE:
+            short = words
+            continue
+        own, n = _ones(words)
+        ones, count, short = ones + own, count + n, []
+    if short and not count:
+        ones, count = _ones(short)
+    bits = np.packbits(2 * ones > count, bitorder="little") if count else np.zeros(8, np.uint8)
     return int(bits.view("<i8")[0])
 
 
@@ -73,6 +97,7 @@ def _fingerprints(batches):
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """(doc_id, text_key, fp) of each row; text_key is a 64-bit hash of the text."""
+    text_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_key"))
     return rows.mapInArrow(_fingerprints, "doc_id long, text_key long, fp long")
 

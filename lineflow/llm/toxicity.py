@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
-from lineflow.llm.shared import cut
+from lineflow.llm.shared import cut, held, text_batches
 
 #: Labelled documents of either kind that are learned from at most.
 MOST_EACH = 10_000
@@ -163,6 +163,7 @@ def _gradient(weights: np.ndarray):
 
 def learn(docs: DataFrame, labels: DataFrame) -> dict[str, float]:
     """Weights of the lexicon's words; that of ``""`` is the bias.  Empty: nothing to learn from."""
+    text_batches(docs.sparkSession)
     rows = cut(sample(docs, labels))
     words = lexicon(rows)
     if not words:
@@ -181,17 +182,6 @@ def learn(docs: DataFrame, labels: DataFrame) -> dict[str, float]:
     return dict(zip([*words, ""], weights.tolist(), strict=True))
 
 
-_plain: dict[str, set[str]] = {}
-
-
-def _plain_words(name: str) -> set[str]:
-    """Words without features that this Python worker has met; only the last scorer's are kept."""
-    if name not in _plain:
-        _plain.clear()
-        _plain[name] = set()
-    return _plain[name]
-
-
 SPAN = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("score", T.DoubleType())])
 SCORED = T.StructType([T.StructField("score", T.DoubleType()), T.StructField("offending", T.ArrayType(SPAN))])
 
@@ -225,7 +215,7 @@ def scorer(weights: dict[str, float]):
 
     @arrow_udf(SCORED)
     def score(text: pa.Array) -> pa.Array:
-        found, plain = [], _plain_words(name)
+        found, plain = [], held(f"plain words {name}", set)  # words without features that this worker has met
         for t in text:
             if len(plain) > PLAIN:
                 plain.clear()
