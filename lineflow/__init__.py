@@ -7,10 +7,10 @@ from lineflow.operators.schema import annotate, columns, merge, tables
 from lineflow.plans.query import project, query, result_set
 from lineflow.plans.spec import Field, RowSpec, SpecError
 from lineflow.sources.config import ConfigError, Options, from_config, from_env
-from lineflow.sources.sink import register
+from lineflow.sources.sink import register, save
 
 __all__ = [
     "ConfigError", "Field", "Options", "RowSpec", "SpecError", "annotate", "by_bytes", "by_interval", "by_rows", "columns",
     "decode_binary", "decode_text", "encode", "from_config", "from_env", "merge", "project", "query", "register",
-    "result_set", "tables",
+    "result_set", "save", "tables",
 ]

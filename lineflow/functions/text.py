@@ -36,9 +36,9 @@ def js_number(c: Column) -> Column:
     mantissa = F.regexp_replace(F.substring_index(text, "E", 1), r"\.0$", "")
     power = F.substring_index(text, "E", -1)
     return (
-        F.when(F.isnan(c) | (size == float("inf")), text)
-        .when(c == 0, "0")
-        .when((size >= 1e-3) & (size < 1e7), F.regexp_replace(text, r"\.0$", ""))
+        F.when((size < 1 << 53) & (c == c.cast("bigint")), c.cast("bigint").cast("string"))  # whole: their digits are exact
+        .when((size >= 1e-3) & (size < 1e7), text)
+        .when(F.isnan(c) | (size == float("inf")), text)
         .when((size >= 1e7) & (size < 1e21), _plain(text, 12))
         .when((size >= 1e-6) & (size < 1e-3), _plain(text, 24))
         .otherwise(F.concat(mantissa, F.when(power.startswith("-"), "e").otherwise("e+"), power))

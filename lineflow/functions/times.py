@@ -33,9 +33,11 @@ def to_nanos(c: Column, unit: str) -> Column:
 
 def epoch_micros(c: Column, kind: str) -> Column:
     """Micros since 1970 of a column of type ``kind``: timestamp, timestamp_ntz or a number of micros."""
-    if kind == "timestamp_ntz":  # by parts: differences of such timestamps shift in the session zone's clock changes
-        minutes = F.unix_date(c.cast("date")).cast("bigint") * 1440 + F.hour(c) * 60 + F.minute(c)
-        return minutes * 60_000_000 + (F.extract(F.lit("SECOND"), c) * 1_000_000).cast("bigint")
+    if kind == "timestamp_ntz":  # no zone takes part in a difference of two of them; an interval gives whole seconds as a number
+        since = c - F.lit("1970-01-01").cast("timestamp_ntz")
+        seconds = since.cast("interval second").cast("bigint")
+        below = (since - F.expr("interval '1' second") * seconds) * 1_000_000
+        return seconds * 1_000_000 + below.cast("interval second").cast("bigint")
     return F.unix_micros(c) if kind == "timestamp" else c.cast("bigint")
 
 

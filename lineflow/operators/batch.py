@@ -16,16 +16,34 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+#: Rows that are sampled for each range of the order.
+SAMPLED = 100
+
+
+def _by_range(df: DataFrame, order: list[str], ranges: int) -> DataFrame:
+    """``df`` with ``_part``: the range of ``order`` that a row falls in, by bounds that are fixed here once and for all."""
+    keys = df.select(*order)
+    share = min(1.0, SAMPLED * ranges / max(keys.count(), 1))
+    found = keys.sample(share, seed=1).orderBy(*order).collect()
+    bounds = [tuple(found[len(found) * k // ranges]) for k in range(1, ranges)] if found else []
+    bounds = df.sparkSession.createDataFrame([(bounds,)], T.StructType([T.StructField("bounds", T.ArrayType(keys.schema))])).scalar()
+    rows = df.select("*", bounds.alias("_bounds"))
+    steps = F.array(*(F.lit(1 << k) for k in reversed(range(max(ranges - 1, 1).bit_length()))))  # of a binary search
+    own = F.struct(*order)
+    part = F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get("_bounds", at + step - 1) <= own, at + step).otherwise(at))
+    return rows.select(*(rows[c] for c in df.columns), part.alias("_part"))
+
+
 def running(df: DataFrame, order: list[str], writer: list[str], sums: dict[str, Column]) -> DataFrame:
     """``df`` with running sums, each row included, over a writer's rows in ``order``.
 
     A writer may own most rows, so rows are dealt by ranges of ``order``; sums run within a
-    writer's share of a range, and the totals of its ranges before are added.  Rows that
-    ``order`` doesn't tell apart are numbered in any order.
+    writer's share of a range, and the totals of its ranges before are added.  The ranges' bounds come
+    from a sample that is taken at once, and a row's range depends on nothing else, however often Spark computes it.
+    Rows that ``order`` doesn't tell apart are numbered in any order.
     """
     ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = df.select("*", *(c.cast("bigint").alias(k) for k, c in sums.items()))
-    dealt = dealt.repartitionByRange(ranges, *order).withColumn("_part", F.spark_partition_id())  # this number is kept as it is
+    dealt = _by_range(df.select("*", *(c.cast("bigint").alias(k) for k, c in sums.items())), order, ranges)
     inside = Window.partitionBy(*writer, "_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     rows = dealt.select("*", *(F.sum(k).over(inside).alias(f"_in_{k}") for k in sums))
     totals = dealt.groupBy(*writer, "_part").agg(*(F.sum(k).alias(f"_all_{k}") for k in sums))

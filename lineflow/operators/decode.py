@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,29 +15,53 @@ from pyspark.sql import types as T
 from lineflow.functions import binary, text
 from lineflow.plans.spec import Field, RowSpec
 
-#: table, tags, fields, timestamp; possessive, so long strings need no stack.
-LINE = (
-    r'(?s)^((?:[^,\\ \n]++|\\.)++)((?:,(?:[^,=\\ ]++|\\.)++=(?:[^, \\]++|\\.)*+)*+)'
-    r'(?: ((?:[^,=\\ ]++|\\.)++=(?:[^ "\\]++|\\.|"(?:[^"\\]++|\\.)*+")++))?(?: (-?\d+))?$'
-)
-_TAG = r"(?s),((?:[^,=\\ ]++|\\.)++)=((?:[^, \\]++|\\.)*+)"
-_FIELD = r'(?s)(?:^|,)((?:[^,=\\ ]++|\\.)++)=("(?:[^"\\]++|\\.)*+"|[^,"]++)'
+# Names and values of version 1, still escaped; possessive, so long strings need no stack.
+_TABLE = r"(?:[^,\\ \n]++|\\.)++"
+_NAME = r"(?:[^,=\\ ]++|\\.)++"
+_TAG = r"(?:[^, \\]++|\\.)*+"
+_VALUE = r'(?:[^ ,"\\]++|\\.|"(?:[^"\\]++|\\.)*+")++'
+_TAGS, _FIELDS = rf"(?:,{_NAME}={_TAG})*+", rf"{_NAME}={_VALUE}(?:,{_NAME}={_VALUE})*+"
 #: Array levels that a decoded column may have.
 LEAF = {"string": "string", "boolean": "boolean", "int": "bigint", "float": "double", "timestamp": "bigint"}
 
 
 def split_line(line: Column) -> Column:
-    """struct(table, tags, fields, at) of a version-1 line, all still escaped."""
+    """struct(table, tags, fields, at) of a version-1 line, all but the table still escaped; of texts that are no line, empty parts.
+
+    Each part is cut off the front of what the one before left, so a line is read once.
+    """
     line = F.regexp_replace(line, r"\n\z", "")
-    part = lambda k: F.regexp_extract(line, LINE, k)
+    begin = lambda text, pattern: F.regexp_extract(text, f"(?s)^(?:{pattern})", 0)
+    behind = lambda text, part: F.substring(text, F.char_length(part) + 1, F.char_length(text))
+    table = begin(line, _TABLE)
+    rest = behind(line, table)
+    tags = begin(rest, _TAGS)
+    rest = behind(rest, tags)
+    fields = begin(rest, f" {_FIELDS}")
+    at = behind(rest, fields)
+    fits = (table != "") & at.rlike(r"^(?: -?\d+)?\z")
+    told = lambda part: F.when(fits, part).otherwise("")
     return F.struct(
-        text.unescape(part(1)).alias("table"), part(2).alias("tags"), part(3).alias("fields"), F.nullif(part(4), F.lit("")).cast("bigint").alias("at")
+        text.unescape(told(table)).alias("table"),
+        told(tags).alias("tags"),
+        told(F.substring(fields, F.lit(2), F.char_length(fields))).alias("fields"),
+        F.when(fits, F.substring(at, F.lit(2), F.lit(20)).try_cast("bigint")).alias("at"),
     )
 
 
-def _map(part: Column, pattern: str) -> Column:
-    keys = F.transform(F.regexp_extract_all(part, F.lit(pattern), F.lit(1)), text.unescape)
-    return F.map_from_arrays(keys, F.regexp_extract_all(part, F.lit(pattern), F.lit(2)))
+def _one(part: Column, name: str, before: str, pair: str, value: str) -> Column:
+    """The value behind ``name=`` among pairs, still escaped; null where there is none.  Of equal names the first counts."""
+    own = re.escape(re.sub(r"([ ,=\n\r\\])", r"\\\1", name))
+    found = F.regexp_extract(part, f"(?s)^(?:{pair})*?{before}{own}(={value})(?=,|\\z)", 1)
+    return F.when(found != "", F.substring(found, F.lit(2), F.char_length(found)))
+
+
+def tag_of(tags: Column, name: str) -> Column:
+    return _one(tags, name, ",", f",{_NAME}={_TAG}", _TAG)
+
+
+def field_of(fields: Column, name: str) -> Column:
+    return _one(fields, name, "", f"{_NAME}={_VALUE},", _VALUE)
 
 
 def _typed(value: Column, kind: str) -> Column:
@@ -55,9 +81,8 @@ def decode_text(lines: DataFrame, spec: RowSpec, line: str = "line") -> DataFram
     """
     others = [c for c in lines.columns if c != line]
     rows = lines.select(*others, split_line(F.col(line)).alias("_l"))
-    rows = rows.select("*", _map(F.col("_l.tags"), _TAG).alias("_t"), _map(F.col("_l.fields"), _FIELD).alias("_f"))
-    tags = [text.unescape(F.col("_t")[s]).alias(s) for s in spec.symbols]
-    fields = [_typed(F.col("_f")[f.name], f.kind).alias(f.name) for f in spec.fields]
+    tags = [text.unescape(tag_of(F.col("_l.tags"), s)).alias(s) for s in spec.symbols]
+    fields = [_typed(field_of(F.col("_l.fields"), f.name), f.kind).alias(f.name) for f in spec.fields]
     at = [F.col("_l.at").alias(spec.at)] if spec.at else []
     return rows.select(*others, F.col("_l.table").alias("table"), *tags, *fields, *at)
 
@@ -65,15 +90,25 @@ def decode_text(lines: DataFrame, spec: RowSpec, line: str = "line") -> DataFram
 # --- versions 2 and 3 ---
 
 
+class DecodeError(ValueError):
+    """Bytes that are no whole line."""
+
+
+_PART = {stops: re.compile(rb"(?s)(?:[^\\" + re.escape(stops) + rb"]|\\.)*") for stops in (b", \n", b"=", b'"')}
+_ESCAPE = re.compile(rb"(?s)\\(.)")
+_STAMP = re.compile(rb"-?[0-9]+[tn](?=\n)")
+
+
 def _until(data: bytes, i: int, stops: bytes) -> tuple[str, int]:
     """Text from ``i`` up to a stop that isn't escaped, unescaped."""
-    out = bytearray()
-    while data[i] not in stops:
-        if data[i] == 0x5C:
-            i += 1
-        out.append(data[i])
-        i += 1
-    return out.decode(), i
+    end = _PART[stops].match(data, i).end()
+    if end >= len(data):
+        raise DecodeError(f"the line is cut off at byte {len(data)}")
+    part = data[i:end]
+    return (_ESCAPE.sub(rb"\1", part) if b"\\" in part else part).decode(), end
+
+
+_double = struct.Struct("<d").unpack_from
 
 
 def _value(data: bytes, i: int) -> tuple[object, int]:
@@ -82,10 +117,12 @@ def _value(data: bytes, i: int) -> tuple[object, int]:
     if first == 0x3D:  # binary
         code = data[i + 1]
         if code == binary.FLOAT:
-            return float(np.frombuffer(data, "<f8", 1, i + 2)[0]), i + 10
+            return _double(data, i + 2)[0], i + 10
         if code == binary.DECIMAL:
             end = i + 4 + data[i + 3]
             return binary.decimal_of(data[i + 1 : end]), end
+        if code != binary.ARRAY:
+            raise DecodeError(f"unknown type code {code} at byte {i + 1}")
         if data[i + 2] == binary.NULL_LEAF:
             return None, i + 3
         n = data[i + 3]
@@ -98,34 +135,37 @@ def _value(data: bytes, i: int) -> tuple[object, int]:
     raw, i = _until(data, i, b", \n")
     if raw in ("t", "f"):
         return raw == "t", i
-    return (raw[:-1] if raw[-1] == "d" else int(raw[:-1])), i
+    return (raw[:-1] if raw[-1:] == "d" else int(raw[:-1])), i
 
 
 def parse(data: bytes) -> Iterator[tuple[str, dict, dict, str | None]]:
     """(table, tags, fields, timestamp text) of each line of a blob of version 2 or 3.
 
     A timestamp keeps its unit letter.  Binary values may hold any byte, so only a parser finds the line ends.
+    Bytes that are no whole line raise a DecodeError.
     """
     i = 0
-    while i < len(data):
-        tags, fields, at = {}, {}, None
-        table, i = _until(data, i, b", \n")
-        while data[i] == 0x2C:
-            name, i = _until(data, i + 1, b"=")
-            tags[name], i = _until(data, i + 1, b", \n")
-        while data[i] != 0x0A:
+    try:
+        while i < len(data):
+            tags, fields, at = {}, {}, None
+            table, i = _until(data, i, b", \n")
+            while data[i] == 0x2C:
+                name, i = _until(data, i + 1, b"=")
+                tags[name], i = _until(data, i + 1, b", \n")
+            while data[i] != 0x0A:
+                i += 1
+                stamp = _STAMP.match(data, i)
+                if stamp:
+                    at, i = stamp[0].decode(), stamp.end()
+                    continue
+                name, i = _until(data, i, b"=")
+                fields[name], i = _value(data, i + 1)
+            yield table, tags, fields, at
             i += 1
-            j = i
-            if data[i : i + 1] == b"-" or 0x30 <= data[i] <= 0x39:
-                while data[j] not in b"tn\n,= ":
-                    j += 1
-            if j > i and data[j] in b"tn" and data[j + 1] == 0x0A:
-                at, i = data[i : j + 1].decode(), j + 1
-                continue
-            name, i = _until(data, i, b"=")
-            fields[name], i = _value(data, i + 1)
-        yield table, tags, fields, at
-        i += 1
+    except DecodeError:
+        raise
+    except (IndexError, ValueError, struct.error) as e:
+        raise DecodeError(f"no whole line at byte {i}: {e}") from e
 
 
 def _type(f: Field, kinds: dict[str, T.DataType]) -> T.DataType:

@@ -112,6 +112,33 @@ def ts_suffix_v2_nanos(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("event_id", F.decode("line", "UTF-8").alias("line"))
 
 
+@registered(
+    f"""SELECT event_id, {EVENT_HEAD} || ' seen=' || epoch_us(ts) || 't,ms=' || (epoch_us(ts) // 1000 * 1000) || 't,ns='
+    || epoch_us(ts) || 't,user_id=' || user_id || 'i' || chr(10) AS line FROM events"""
+)
+def ts_fields_v1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _stamped(spark, sf_dir)
+    return encode(rows, STAMPS).select("event_id", "line")
+
+
+@registered(
+    f"""SELECT event_id, {EVENT_HEAD} || ' seen=' || epoch_us(ts) || 't,ms=' || (epoch_us(ts) // 1000 * 1000) || 't,ns='
+    || (epoch_us(ts) * 1000 + event_id % 1000) || 'n,user_id=' || user_id || 'i' || chr(10) AS line FROM events"""
+)
+def ts_fields_v2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = encode(_stamped(spark, sf_dir), STAMPS, 2)
+    return rows.select("event_id", F.decode("line", "UTF-8").alias("line"))
+
+
+STAMPS = RowSpec("events", ("event_type",), (Field("seen", "timestamp", "ts"), Field("ms", "timestamp", unit="ms"), Field("ns", "timestamp", unit="ns"), Field("user_id", "int")))
+
+
+def _stamped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "events")
+    us = _micros(rows, "ts")
+    return rows.select("event_id", "event_type", "user_id", "ts", times.whole_div(us, 1000).alias("ms"), (us * 1000 + F.col("event_id") % 1000).alias("ns"))
+
+
 # --- scalar functions ---
 
 
@@ -130,12 +157,25 @@ def unescape_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "documents").select("doc_id", text.unescape(text.escape(F.col("text"))).alias("text"))
 
 
-@registered(f"SELECT l_orderkey, l_linenumber, {NUMBER.format('l_extendedprice')} AS number FROM lineitem WHERE l_extendedprice < 1e7")
+@registered(f"SELECT l_orderkey, l_linenumber, {NUMBER.format('l_extendedprice')} AS number FROM lineitem")
 def number_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = read(spark, sf_dir, "lineitem").filter("l_extendedprice < 1e7")
+    rows = read(spark, sf_dir, "lineitem")
     return rows.select("l_orderkey", "l_linenumber", text.js_number(F.col("l_extendedprice")).alias("number"))
 
 
+@registered(
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN '' ELSE '-' END || CASE o_orderkey % 3 WHEN 0 THEN k || '000000000000' WHEN 1 THEN '0.0000' || k
+    ELSE k[1] || CASE WHEN rtrim(k[2:], '0') = '' THEN '' ELSE '.' || rtrim(k[2:], '0') END || 'e+' || (24 + length(k)) END AS number
+    FROM (SELECT o_orderkey, CAST(o_custkey * 10 + 1 AS VARCHAR) AS k FROM orders)"""
+)
+def number_text_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Large, small and very large numbers, of either sign."""
+    k = F.concat((F.col("o_custkey") * 10 + 1).cast("string"), F.lit(""))
+    told = F.when(F.col("o_orderkey") % 3 == 0, F.concat(k, F.lit("e12"))).when(F.col("o_orderkey") % 3 == 1, F.concat(F.lit("0.0000"), k)).otherwise(F.concat(k, F.lit("e25")))
+    value = told.cast("double") * F.when(F.col("o_orderkey") % 2 == 0, 1.0).otherwise(-1.0)
+    return read(spark, sf_dir, "orders").select("o_orderkey", text.js_number(value).alias("number"))
+
+
 @registered("SELECT event_id, epoch_us(ts) AS us FROM events")
 def ts_to_micros(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read(spark, sf_dir, "events")
@@ -270,7 +310,7 @@ def array2d_v2_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("vec_id", F.col("r").cast("bigint").alias("r"), F.col("c").cast("bigint").alias("c"), "x")
 
 
-@registered("SELECT vec_id, CAST(len(embedding) AS VARCHAR) AS one, '8,8' AS two, len(embedding) * 8 AS bytes, embedding[1] = embedding[1] AS regular, len(embedding) AS leaves FROM embeddings")
+@registered("SELECT vec_id, CAST(len(embedding) AS VARCHAR) AS one, '8,8' AS two, len(embedding) * 8 AS bytes, len(embedding) = 64 AS regular, len(embedding) AS leaves FROM embeddings")
 def array_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     v, square = F.col("v"), F.col("square")
     rows = _vectors(spark, sf_dir).withColumn("square", arrays.reshape(v, 8, 8))
@@ -285,6 +325,48 @@ def array_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+MIXED = RowSpec(
+    "mixed", ("o_orderstatus",),
+    (Field("name", "string"), Field("big", "boolean"), Field("o_custkey", "int"), Field("o_totalprice", "float"), Field("seen", "timestamp", "o_orderdate"), Field("price", "decimal"), Field("v", "array"), Field("m", "array")),
+    at="ns", unit="ns",
+)
+
+
+@registered(
+    """SELECT o_orderkey, o_orderstatus, o_orderpriority || '="' || chr(10) AS name, o_totalprice > 150000 AS big, o_custkey, o_totalprice, epoch_us(o_orderdate) AS seen,
+    CASE WHEN o_orderkey % 7 <> 0 THEN CAST(CAST(o_totalprice AS DECIMAL(18, 2)) AS VARCHAR) END AS price,
+    CASE WHEN o_orderkey % 3 = 0 THEN NULL WHEN o_orderkey % 3 = 1 THEN '' ELSE o_custkey || '.0,0.5' END AS v, o_custkey || '.0|' || (-1 - o_custkey) || '.0' AS m,
+    epoch_us(o_orderdate) * 1000 AS ns FROM orders"""
+)
+def all_kinds_v3_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row of every kind: null, empty and filled arrays, null decimals, strings with marks."""
+    key, cust = F.col("o_orderkey"), F.col("o_custkey").cast("double")
+    v = F.when(key % 3 == 1, F.array().cast("array<double>")).when(key % 3 == 2, F.array(cust, F.lit(0.5)))
+    rows = _orders(spark, sf_dir).select(
+        "o_orderkey", "o_orderstatus", F.concat("o_orderpriority", F.lit('="\n')).alias("name"), (F.col("o_totalprice") > 150000).alias("big"), "o_custkey", "o_totalprice", "o_orderdate",
+        F.when(key % 7 != 0, F.col("price")).alias("price"), v.alias("v"), F.array(F.array(cust), F.array(-1 - cust)).alias("m"),
+    )
+    lines = encode(rows.withColumn("ns", _micros(rows, "o_orderdate") * 1000), MIXED, 3).select("o_orderkey", "line")
+    doubles = T.ArrayType(T.DoubleType())
+    back = decode_binary(lines, MIXED, {"price": T.DecimalType(18, 2), "v": doubles, "m": T.ArrayType(doubles)})
+    listed = F.array_join(F.col("v").cast("array<string>"), ",")
+    return back.select("o_orderkey", "o_orderstatus", "name", "big", "o_custkey", "o_totalprice", "seen", F.col("price").cast("string").alias("price"), listed.alias("v"), F.array_join(F.transform("m", lambda x: F.get(x, F.lit(0)).cast("string")), "|").alias("m"), "ns")
+
+
+@registered(
+    """SELECT vec_id, CASE WHEN vec_id % 4 = 0 THEN NULL ELSE vec_id % 4 <> 1 END AS regular, CASE vec_id % 4 WHEN 0 THEN NULL WHEN 1 THEN '2,3' WHEN 2 THEN '2,0' ELSE '2,2' END AS shape,
+    CASE vec_id % 4 WHEN 0 THEN NULL WHEN 1 THEN 5 WHEN 2 THEN 0 ELSE 4 END AS leaves FROM embeddings"""
+)
+def ragged_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ragged, empty, regular and null arrays."""
+    k, cut = F.col("vec_id") % 4, lambda n, at=1: F.slice("v", at, n)
+    ragged = F.when(k == 1, F.array(cut(3), cut(2))).when(k == 2, F.array(cut(0), cut(0))).when(k == 3, F.array(cut(2), cut(2, 3)))
+    rows = _vectors(spark, sf_dir).select("vec_id", "v").withColumn("r", ragged)
+    r = F.col("r")
+    told = lambda c: F.when(r.isNotNull(), c)
+    return rows.select("vec_id", told(arrays.regular(r, 2)).alias("regular"), told(F.array_join(arrays.dims(r, 2).cast("array<string>"), ",")).alias("shape"), told(F.size(arrays.flatten_all(r, 2))).alias("leaves"))
+
+
 # --- decoding, schemas, queries ---
 
 
@@ -379,6 +461,16 @@ BYTES = f"""SELECT event_id, event_type, CAST(sum(octet_length(encode(line))) OV
     FROM (SELECT *, {EVENT_LINE} AS line FROM events)"""
 
 
+@registered(f"SELECT *, (bytes - 1) // 65536 AS batch FROM ({BYTES.replace('SELECT event_id, event_type,', 'SELECT event_id, event_type, line,', 1)})")
+def batch_bytes_with_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return batch.by_bytes(_lines(spark, sf_dir).select("event_id", "event_type", "us", "line"), ["us", "event_id"], 65536, ["event_type"]).drop("us")
+
+
+@registered("SELECT *, (row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) - 1) // 600 AS batch FROM events")
+def batch_by_rows_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return batch.by_rows(read(spark, sf_dir, "events"), ["ts", "event_id"], 600, ["event_type"])
+
+
 @registered(f"SELECT event_id, bytes, (bytes - 1) // 65536 AS batch FROM ({BYTES})")
 def batch_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batch.by_bytes(_lines(spark, sf_dir), ["us", "event_id"], 65536, ["event_type"]).select("event_id", "bytes", "batch")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import logging
 import os
 import ssl
 import urllib.request
@@ -13,8 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from lineflow.operators import delivery
-
-log = logging.getLogger("lineflow")
+from lineflow.sources.logs import Log, log
 
 # Protocols, their default ports, known keys.
 PORTS = {"http": 9000, "https": 9000, "tcp": 9009, "tcps": 9009}
@@ -56,8 +54,11 @@ class Options:
     stdlib_http: bool = False
     tls_verify: bool = True
     tls_ca: str | None = None
+    log: Log = log
 
     def __post_init__(self) -> None:
+        if not callable(self.log):
+            raise ConfigError("log must be a function of a level and a message")
         if self.protocol not in PORTS:
             raise ConfigError(f"unknown protocol {self.protocol!r}, expected one of {', '.join(PORTS)}")
         self.port = self.port or PORTS[self.protocol]
@@ -180,7 +181,7 @@ def modern(options: dict[str, object]) -> dict[str, object]:
     for old, new in (("copy_buffer", None), ("copyBuffer", None), ("bufferSize", "init_buf_size")):
         if old in out:
             value = out.pop(old)
-            log.warning("option %s is not supported any more%s", old, f", use {new}" if new else "")
+            out.get("log", log)("warn", f"option {old} is not supported any more" + (f", use {new}" if new else ""))
             if new:
                 out[new] = value
     if unknown := out.keys() - {f.name for f in fields(Options)}:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import base64
 import http.client
-import logging
 import random
 import socket
 import time
@@ -12,7 +11,6 @@ import time
 from lineflow.operators import delivery
 from lineflow.sources.config import ConfigError, Options
 
-log = logging.getLogger("lineflow")
 TIMED_OUT = 524
 #: Characters of an unexpected answer that are logged.
 SHOWN = 256
@@ -76,12 +74,14 @@ class HttpSender:
             status, body = self._once(data)
             if status == delivery.SUCCESS:
                 if body:
-                    log.warning("unexpected answer: %s", body if len(body) < SHOWN else f"{body[:SHOWN]}... ({len(body)} characters)")
+                    shown = body if len(body) < SHOWN else f"{body[:SHOWN]}... ({len(body)} characters)"
+                    self.options.log("warn", f"unexpected answer: {shown}")
                 return
             now = time.monotonic()
             began = now if began is None else began
             if status not in delivery.RETRYABLE or (now - began) * 1000 >= self.options.retry_timeout:
                 raise DeliveryError(f"the server answered {status}: {body}")
+            self.options.log("debug", f"answer {status}, trying again")
             time.sleep(max(0, wait + random.randint(-5, 4)) / 1000)
             wait = min(wait * 2, delivery.MOST_WAIT_MS)
 

@@ -14,11 +14,13 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from lineflow.operators.batch import flushes
 from lineflow.operators.encode import encode
 from lineflow.plans.spec import RowSpec
+from lineflow.sources.sink import encoded
 
 
-def send(rows: DataFrame, spec: RowSpec, conf: str, version: int = 1) -> DataStreamWriter:
-    """A stream's rows encoded and written to a server; call ``start()`` on it."""
-    return encode(rows, spec, version).select("line").writeStream.format("lineflow").option("conf", conf)
+def send(rows: DataFrame, spec: RowSpec, conf: str) -> DataStreamWriter:
+    """A stream's rows encoded in the server's version and written to it; call ``start()`` on it."""
+    lines, options = encoded(rows, spec, conf)
+    return lines.writeStream.format("lineflow").options(**options)
 
 
 def append_once(rows: DataFrame, spec: RowSpec, path: str, version: int = 1) -> DataStreamWriter:
@@ -39,11 +41,10 @@ def batches(rows: DataFrame, micros: str, writer: str, limit: int, interval: int
     state_schema = "batch long, pending long, last long"
 
     def assign(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        part = pd.concat(list(parts)).sort_values(micros, kind="stable")  # a writer's share of one micro-batch
-        times = part[micros].to_numpy(np.int64)
+        times = np.sort(np.concatenate([p[micros].to_numpy(np.int64) for p in parts]))  # 8 bytes a row of one micro-batch
         held = state.get if state.exists else (0, 0, int(times[0]))
         numbers, held = flushes(times, limit, interval, tuple(held))
         state.update(held)
-        yield pd.DataFrame({writer: part[writer], micros: part[micros], "batch": numbers})
+        yield pd.DataFrame({writer: key[0], micros: times, "batch": numbers})
 
     return rows.select(writer, micros).groupBy(writer).applyInPandasWithState(assign, schema, state_schema, "append", GroupStateTimeout.NoTimeout)

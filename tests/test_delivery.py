@@ -1,18 +1,26 @@
 """Configuration, transports, the sink, batches and streams."""
 
+import base64
 import json
+import socket
+import tempfile
 import threading
+import time
 from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
+from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from lineflow import ConfigError, Field, RowSpec, encode, from_config, from_env, register
-from lineflow.operators.batch import by_rows, flushes, running
+from lineflow import ConfigError, Field, RowSpec, decode_binary, encode, from_config, from_env, register, save
+from lineflow.operators.batch import by_bytes, by_rows, flushes, running
+from lineflow.operators.decode import DecodeError, parse
 from lineflow.operators.delivery import capacity_needed
 from lineflow.operators.schema import annotate, columns, merge
 from lineflow.sources import config
+from lineflow.sources.logs import log
 from lineflow.sources.sink import BufferTooLarge, chunks
 from lineflow.sources.transport import DeliveryError, HttpSender
 from lineflow.streaming import flow
@@ -31,7 +39,8 @@ def server():
             self.end_headers()
 
         def do_GET(self):  # noqa: N802
-            body = json.dumps({"config": {"line.proto.support.versions": self.server.versions}}).encode()
+            known = {} if self.server.versions is None else {"line.proto.support.versions": self.server.versions}
+            body = json.dumps({"config": known}).encode()
             self.send_response(200)
             self.send_header("Content-Length", str(len(body)))
             self.end_headers()
@@ -119,6 +128,142 @@ def test_sink(spark, server):
     assert all(x[2].count(b"\n") <= 100 and x[1]["Authorization"] == "Bearer abc" for x in server.seen)
 
 
+class Clock:
+    """Each look at the clock is a tenth of a second later."""
+
+    now = 0.0
+
+    def __call__(self):
+        self.now += 0.1
+        return self.now
+
+
+def test_chunks_by_time():
+    lines = [b"a"] * 7
+    assert [n for _, n in chunks(iter(lines), 0, 100, 250, Clock())] == [3, 3, 1]
+    assert [n for _, n in chunks(iter(lines), 2, 100, 250, Clock())] == [2, 2, 2, 1]
+    assert [n for _, n in chunks(iter(lines), 0, 100, 0, Clock())] == [7]
+
+
+@pytest.mark.parametrize("versions, want", [([1], "text"), ([1, 2], "binary"), (None, "text")])
+def test_save_encodes_in_the_server_s_version(spark, server, versions, want):
+    register(spark)
+    server.versions = versions
+    spec = RowSpec("t", ("k",), (Field("x", "float"),))
+    save(spark.range(20).selectExpr("'a' as k", "id + 0.5D as x"), spec, conf(server))
+    body = b"".join(x[2] for x in server.seen)
+    if want == "text":
+        assert sorted(body.splitlines()) == sorted(f"t,k=a x={i}.5".encode() for i in range(20))
+    else:
+        assert sorted(f["x"] for _, _, f, _ in parse(body)) == [i + 0.5 for i in range(20)]
+
+
+def test_save_needs_a_common_version(spark, server):
+    register(spark)
+    server.versions = [4, 5]
+    with pytest.raises(ConfigError):
+        save(spark.range(1), RowSpec("t", (), (Field("id", "int"),)), conf(server))
+
+
+def test_save_checks_names_by_the_configuration(spark, server):
+    register(spark)
+    spec, rows = RowSpec("t", (), (Field("long_name", "int", "id"),)), spark.range(1)
+    with pytest.raises(ValueError, match="longer than 5"):
+        save(rows, spec, conf(server, "max_name_len=5;"))
+    save(rows, spec, conf(server, "max_name_len=9;"))
+    assert server.seen[0][2] == b"t long_name=0i\n"
+
+
+def test_writers_have_senders_of_their_own(spark, server):
+    register(spark)
+    rows = spark.range(300).selectExpr("id", "concat('k', id % 3) as k").repartition(5)
+    save(rows, RowSpec("t", ("k",), (Field("id", "int"),)), conf(server), writer=["k"])
+    assert sum(x[2].count(b"\n") for x in server.seen) == 300 and len(server.seen) <= 3
+
+
+NOTED = Path(tempfile.gettempdir()) / "lineflow-test-noted"  # other processes log
+
+
+def note(level, message):
+    with NOTED.open("a") as f:
+        f.write(f"{level} {message}\n")
+
+
+def backwards(challenge):
+    return challenge[::-1]
+
+
+def test_a_caller_s_log(spark, server):
+    register(spark)
+    NOTED.write_text("")
+    save(spark.range(3), RowSpec("t", (), (Field("id", "int"),)), conf(server), log="test_delivery:note")
+    assert "info sent 3 rows" in NOTED.read_text()
+    told = []
+    from_config("http::addr=a;", copy_buffer=True, log=lambda *x: told.append(x))
+    assert told == [("warn", "option copy_buffer is not supported any more")]
+    with pytest.raises(ConfigError):
+        from_config("http::addr=a;", log="no function")
+    with pytest.raises(ValueError, match="unknown log level"):
+        log("loud", "x")
+
+
+def test_tcp_with_a_challenge(spark):
+    register(spark)
+    listener, seen = socket.create_server(("127.0.0.1", 0)), []
+
+    def serve():
+        while True:
+            try:
+                c, _ = listener.accept()
+            except OSError:
+                return
+            with c, c.makefile("rb") as f:
+                seen.append(f.readline())
+                c.sendall(b"challenge\n")
+                seen.append(f.readline())
+                seen.append(f.read())
+
+    threading.Thread(target=serve, daemon=True).start()
+    rows = spark.range(3).coalesce(1)
+    spec, where = RowSpec("t", (), (Field("id", "int"),)), f"tcp::addr=127.0.0.1:{listener.getsockname()[1]};"
+    save(rows, spec, where + "username=key;token=secret;", signer="test_delivery:backwards")
+    for _ in range(50):
+        if len(seen) < 3:
+            time.sleep(0.1)
+    assert seen == [b"key\n", base64.b64encode(b"egnellahc") + b"\n", b"t id=0i\nt id=1i\nt id=2i\n"]
+    with pytest.raises(Exception, match="signer"):
+        save(rows, spec, where + "username=key;token=secret;")
+    listener.close()
+
+
+def test_cut_off_bytes_are_errors(spark):
+    spec = RowSpec("t", ("k",), (Field("x", "float"),))
+    whole = bytes(encode(spark.range(1).selectExpr("'a' as k", "0.5D as x"), spec, 2).first()["line"])
+    assert list(parse(whole)) == [("t", {"k": "a"}, {"x": 0.5}, None)]
+    for n in range(1, len(whole)):
+        with pytest.raises(DecodeError):
+            list(parse(whole[:n]))
+    with pytest.raises(Exception, match="DecodeError"):
+        decode_binary(spark.createDataFrame([(bytearray(whole[:9]),)], "line binary"), spec).collect()
+
+
+def test_running_sums_of_wide_rows_without_reuse(spark):
+    before = spark.conf.get("spark.sql.exchange.reuse")
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        df = spark.range(3000).selectExpr("id", "hash(id) % 1000 as t", "if(id % 9 = 0, 'b', 'a') as w", "repeat('x', cast(id % 13 as int)) as line", "id * 2 as more").repartition(7)
+        within = Window.partitionBy("w").orderBy("t", "id").rowsBetween(Window.unboundedPreceding, 0)
+        got = by_bytes(df, ["t", "id"], 50, ["w"])
+        assert got.columns == [*df.columns, "bytes", "batch"]
+        want = df.withColumn("want", F.sum(F.octet_length("line").cast("bigint")).over(within)).select("id", "want")
+        assert got.join(want, "id").filter("bytes = want and length(line) = id % 13 and more = id * 2").count() == 3000
+        got = by_rows(df, ["t", "id"], 40, ["w"])
+        want = df.withColumn("want", F.floor((F.row_number().over(within) - 1) / 40)).select("id", "want")
+        assert got.join(want, "id").filter("batch = want").count() == 3000
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", before)
+
+
 def test_streams(spark, server, tmp_path):
     register(spark)
     source = str(tmp_path / "in")
