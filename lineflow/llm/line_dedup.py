@@ -1,29 +1,28 @@
 """Line dedup by winnowing over line hashes, on DataFrame functions only.
 
-Lines are compared without white space at their ends and with other runs of it as one blank;
-blank lines are left out of all counts.  Fingerprints of a document are
-
-* of each WINDOW neighbouring hashes of line pairs, the smallest (the last one, if equal):
-  any run of PAIR + WINDOW - 1 = 3 lines that occurs twice shares one for sure;
-* each line of LONG words or more by itself.
-
-Per fingerprint the first occurrence, in the order of (doc_id, place), is kept; each
-later one is aligned with it and extended both ways while lines are equal.  The lines of these
-runs are deleted from the later place.  A single short line that recurs ("Yes.") stays.
-
-That tries one partner a fingerprint, so a run can lose a line whose pair first occurred
-elsewhere, and runs of two lines go or stay by chance.  ``whole=True``, which the query uses, is exact instead:
-the smaller pair of each window and the line beside it are one key with its own first occurrence, so
-exactly the lines of three-line runs that occurred before, and LONG lines that did, are deleted.
-
-Only hashes are shuffled until texts of documents with runs are rewritten.  Fingerprints
-and first documents that many rows share are broadcast (at most HOT_KEYS keys) or salted.
-
-Null and empty texts have no lines and stay as they are.  Rows with one doc_id are judged as
-one document with the lines of the row whose text is smallest by hash, and rows of
-another text under this id stay whole.  A null doc_id comes last, and all null ids are one
-document.  Repeated rows are rewritten alike.  Extra columns are ignored by ``runs`` and
-kept by ``line_dedup``.
+Lines are compared by 64-bit hashes, without white space at their ends and with other runs of it as one blank;
+blank lines are left out of all counts.
+
+1. Fingerprints: of each WINDOW neighbouring hashes of line pairs, the smallest (the last one, if equal).  Any run
+   of PAIR + WINDOW - 1 = 3 lines that occurs twice shares one for sure.  Each line of LONG words or more is one by itself.
+2. Positions: only places of fingerprints that occur more than once go on (a bitmap of these picks them).
+3. Extension: at each place the fingerprint is extended by the line before or behind, whichever its window holds, and
+   each extended fingerprint has a first occurrence of its own, in the order of (doc_id, text, place).  Longer
+   runs are chains of these: overlapping ones are joined, so a match reaches as far both ways as lines are equal
+   to any earlier place, not only to one partner.
+4. The lines of such runs are deleted from the later place.
+
+So exactly the lines of all runs of three lines or more that occurred before, and long lines that did, go.  A short line
+that recurs by itself ("Yes."), or a run of two, stays.  Everything grows with the number of lines; no two arrays of hashes
+are compared.
+
+Only hashes are shuffled until texts of documents with runs are rewritten.  Extended fingerprints that many rows
+share are broadcast (at most HOT_KEYS keys).
+
+Null and empty texts have no lines and stay as they are.  A document is a doc_id with a text: different texts of one id, or of
+a null id, are judged each, in the order of a hash of the text; null ids come last.  Rows repeated with id
+and text are one document and are rewritten alike (exact dedup drops them).  Extra columns are ignored by ``runs`` and
+kept by ``line_dedup``, but for a column ``removed``, which is replaced.
 """
 
 from __future__ import annotations
@@ -31,12 +30,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lineflow.llm.shared import HOT_FLOOR, HOT_KEYS, cut, key_filter, lookup, split_by_filter
+from lineflow.llm.shared import cut, fresh, key_filter, lookup, own, split_by_filter
 
 PAIR = 2
 WINDOW = 2
 LONG = 25
-SALTS = 32
+LAST_ID = (1 << 63) - 1
 
 
 def _lines(text: Column) -> Column:
@@ -47,111 +46,70 @@ def _lines(text: Column) -> Column:
     )
 
 
+def _doc() -> Column:
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID))
+
+
 def _hashed(docs: DataFrame) -> DataFrame:
     """doc, text_key, hashes of the lines that aren't blank, and which of them are long."""
-    doc = F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))
-    rows = docs.select(doc.alias("doc"), F.xxhash64("text").alias("text_key"), _lines(F.col("text")).alias("lines"))
+    rows = docs.select(_doc().alias("doc"), F.xxhash64("text").alias("text_key"), _lines(F.col("text")).alias("lines"))
     rows = rows.withColumn("lines", F.filter("lines", lambda x: x != ""))
     long = F.transform("lines", lambda x: F.size(F.split(x, " ")) >= LONG)
-    rows = rows.select("doc", "text_key", F.transform("lines", lambda x: F.xxhash64(x)).alias("h"), long.alias("long"))
-    one = rows.groupBy("doc").agg(F.min("text_key").alias("text_key"), F.count("*").alias("rows"))
-    again = cut(one.filter("rows > 1"))
-    if again.isEmpty():
-        return rows
-    again = F.broadcast(again) if again.count() <= HOT_KEYS else again
-    told = rows.join(again.select("doc", F.col("text_key").alias("_key")), "doc", "left")
-    told = told.filter(F.col("_key").isNull() | (F.col("_key") == F.col("text_key"))).drop("_key")
-    alone = told.join(again.select("doc"), "doc", "left_anti")
-    return alone.unionByName(told.join(again.select("doc"), "doc", "left_semi").dropDuplicates(["doc"]))
+    return rows.select("doc", "text_key", F.transform("lines", lambda x: F.xxhash64(x)).alias("h"), long.alias("long"))
 
 
-def _fingerprints(rows: DataFrame) -> DataFrame:
-    """(key, at) of each fingerprint: its hash and its place among the document's lines."""
-    n = F.size("h")
-    pairs = F.when(n < PAIR, F.array().cast("array<long>")).otherwise(
-        F.zip_with(F.slice("h", F.lit(1), n - 1), F.slice("h", F.lit(2), F.greatest(n - 1, F.lit(0))), lambda a, b: F.xxhash64(a, b))
-    )
-    rows = rows.withColumn("p", pairs)
-    m = F.size("p")
+def _places(n: Column) -> Column:
+    return F.filter(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), lambda i: i < n)
 
-    def least(i: Column) -> Column:
-        """The place of the smaller of pairs i and i + 1."""
-        a, b = F.element_at("p", i + 1), F.element_at("p", i + 2)
-        return F.when(b <= a, i + 1).otherwise(i)
 
-    chosen = (
-        F.when(m == 0, F.array().cast("array<int>"))
-        .when(m == 1, F.array(F.lit(0)))
-        .otherwise(F.array_distinct(F.transform(F.sequence(F.lit(0), F.greatest(m - WINDOW, F.lit(0))), least)))
-    )
-    two = F.transform(chosen, lambda i: F.struct(F.element_at("p", i + 1).alias("key"), i.cast("int").alias("at")))
-    places = F.filter(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), lambda i: F.coalesce(F.get("long", i), F.lit(False)))
-    one = F.transform(places, lambda i: F.struct(F.xxhash64(F.get("h", i), F.lit("long")).alias("key"), i.cast("int").alias("at")))
-    return rows.select("doc", F.explode(F.concat(two, one)).alias("f")).select("doc", "f.key", "f.at")
+def _long_print(i: Column) -> Column:
+    return F.xxhash64(F.get("h", i), F.lit("long"))
 
 
-def _same(a: Column, b: Column) -> Column:
-    """How many elements two arrays share from their starts on."""
-    n = F.least(F.size(a), F.size(b))
-    met = F.zip_with(F.slice(a, F.lit(1), n), F.slice(b, F.lit(1), n), lambda x, y: x == y)
-    miss = F.array_position(met, F.lit(False))
-    return F.when(n == 0, F.lit(0).cast("long")).when(miss == 0, n.cast("long")).otherwise(miss - 1)
+def _long_places() -> Column:
+    return F.filter(_places(F.size("h")), lambda i: F.coalesce(F.get("long", i), F.lit(False)))
 
 
-def _windows(rows: DataFrame) -> DataFrame:
-    """(doc, text_key, key, at, lines) of all three-line runs, by fingerprint and the line beside it, and of long lines."""
+def _fingerprints(rows: DataFrame) -> DataFrame:
+    """(print) of each selected place: window minima, and long lines."""
     n = F.size("h")
+    pairs = F.transform(_places(n - 1), lambda i: F.xxhash64(F.get("h", i), F.get("h", i + 1)))
+    rows = rows.withColumn("p", pairs)
+    least = lambda i: F.when(F.get("p", i + 1) <= F.get("p", i), i + 1).otherwise(i)
+    chosen = F.array_distinct(F.transform(_places(F.size("p") - WINDOW + 1), least))
+    two = F.transform(chosen, lambda i: F.get("p", i))
+    return rows.select(F.explode(F.concat(two, F.transform(_long_places(), _long_print))).alias("print"))
+
+
+def _extended(rows: DataFrame) -> DataFrame:
+    """(doc, text_key, print, key, at, lines): each window's fingerprint, and it with the window's other line; long lines."""
 
     def three(i: Column) -> Column:
         x, y, z = (F.get("h", i + k) for k in range(3))
         a, b = F.xxhash64(x, y), F.xxhash64(y, z)
         key = F.when(b <= a, F.xxhash64(x, b, F.lit("before"))).otherwise(F.xxhash64(a, z, F.lit("behind")))
-        return F.struct(key.alias("key"), i.alias("at"), F.lit(3).alias("lines"))
-
-    places = F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)))
-    runs = F.transform(F.filter(places, lambda i: i + 2 < n), three)
-    long = F.filter(places, lambda i: F.coalesce(F.get("long", i), F.lit(False)))
-    one = F.transform(long, lambda i: F.struct(F.xxhash64(F.get("h", i), F.lit("long")).alias("key"), i.alias("at"), F.lit(1).alias("lines")))
-    return rows.select("doc", "text_key", F.explode(F.concat(runs, one)).alias("f")).select("doc", "text_key", "f.*")
-
-
-def _whole_spans(rows: DataFrame) -> DataFrame:
-    """(doc, text_key, start, last) of each three-line run and long line that occurred before."""
-    prints = cut(_windows(rows))
-    first = prints.groupBy("key").agg(F.min(F.struct("doc", "at")).alias("first"), F.count("*").alias("n"))
-    met = lookup(prints, cut(first.filter("n > 1")), "key", prints.count()).filter(F.struct("doc", "at") > F.col("first"))
+        return F.struct(F.least(a, b).alias("print"), key.alias("key"), i.alias("at"), F.lit(3).alias("lines"))
+
+    one = lambda i: F.struct(_long_print(i).alias("print"), _long_print(i).alias("key"), i.alias("at"), F.lit(1).alias("lines"))
+    every = F.concat(F.transform(_places(F.size("h") - 2), three), F.transform(_long_places(), one))
+    return rows.select("doc", "text_key", F.explode(every).alias("f")).select("doc", "text_key", "f.*")
+
+
+def _spans(rows: DataFrame) -> DataFrame:
+    """(doc, text_key, start, last) of each extended fingerprint that occurred before."""
+    again = cut(_fingerprints(rows).groupBy("print").count().filter("count > 1").select("print"))
+    bits, size = key_filter(again, F.col("print"), again.count())
+    met, _ = split_by_filter(_extended(rows), F.col("print"), cut(bits), size)
+    met = cut(met.drop("print"))
+    place = F.struct("doc", "text_key", "at")
+    first = met.groupBy("key").agg(F.min(place).alias("first"), F.count("*").alias("n"))
+    met = lookup(met, cut(first.filter("n > 1")), "key", met.count()).filter(place > F.col("first"))
     return met.select("doc", "text_key", F.col("at").alias("start"), (F.col("at") + F.col("lines") - 1).alias("last"))
 
 
-def _aligned_spans(rows: DataFrame) -> DataFrame:
-    """(doc, text_key, start, last) of each fingerprint's run, aligned with its first occurrence."""
-    prints = cut(_fingerprints(rows))
-    first = prints.groupBy("key").agg(F.min(F.struct("doc", "at")).alias("first"), F.count("*").alias("n"))
-    first = cut(first.filter("n > 1"))
-    seeds = lookup(prints, first, "key", prints.count()).filter("first is not null")
-    seeds = seeds.filter(F.struct("doc", "at") > F.col("first"))
-    seeds = seeds.select("doc", F.col("first.doc").alias("from"), F.struct("at", F.col("first.at").alias("from_at")).alias("s"))
-    pairs = cut(seeds.groupBy("doc", "from").agg(F.collect_list("s").alias("seeds")))  # at most a document's lines
-    sizes = pairs.groupBy("from").count()
-    limit = max(HOT_FLOOR, pairs.count() // HOT_KEYS)
-    hot = F.broadcast(cut(sizes.filter(F.col("count") > limit).select("from", F.lit(True).alias("hot"))))
-    salted = pairs.join(hot, "from", "left").withColumn(
-        "salt", F.when(F.col("hot"), F.pmod(F.xxhash64("doc"), F.lit(SALTS))).otherwise(0).cast("int")
-    )
-    salts = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    source = rows.select(F.col("doc").alias("from"), F.col("h").alias("h0")).join(hot, "from", "left")
-    source = source.select("from", "h0", F.explode(salts).alias("salt"))
-    met = salted.join(rows.select("doc", "text_key", "h"), "doc").join(source, ["from", "salt"])
-    met = met.select("doc", "text_key", "h", "h0", F.explode("seeds").alias("s")).select("doc", "text_key", "h", "h0", "s.*")
-    ahead = _same(F.slice("h", F.col("at") + 1, F.size("h")), F.slice("h0", F.col("from_at") + 1, F.size("h0")))
-    behind = _same(F.reverse(F.slice("h", F.lit(1), F.col("at"))), F.reverse(F.slice("h0", F.lit(1), F.col("from_at"))))
-    return met.select("doc", "text_key", (F.col("at") - behind).alias("start"), (F.col("at") + ahead - 1).alias("last"))
-
-
-def runs(docs: DataFrame, whole: bool = False) -> DataFrame:
+def runs(docs: DataFrame) -> DataFrame:
     """(doc, text_key, spans, removed): which lines, counted without blank ones, are later repeats."""
-    rows = cut(_hashed(docs))
-    spans = _whole_spans(rows) if whole else _aligned_spans(rows)
+    spans = _spans(cut(_hashed(docs)))
     in_order = Window.partitionBy("doc", "text_key").orderBy("start", "last")  # a document's own spans
     reached = F.max("last").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
     spans = spans.distinct().withColumn("reached", reached)
@@ -164,30 +122,34 @@ def runs(docs: DataFrame, whole: bool = False) -> DataFrame:
     )
 
 
-def line_dedup(docs: DataFrame, whole: bool = False) -> DataFrame:
+def line_dedup(docs: DataFrame) -> DataFrame:
     """``docs`` with a column ``removed`` (number of lines), and texts without later repeats."""
-    found = cut(runs(docs, whole))
-    doc = F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))
+    found = cut(runs(docs))
+    if "removed" in docs.columns:
+        docs = docs.drop("removed")
+    columns = [*docs.columns, "removed"]
     none = F.lit(0).alias("removed")
     count = found.count()
     if not count:
-        return docs.select("*", none)
-    bits, size = key_filter(found, F.xxhash64("doc"), count)
-    maybe, clear = split_by_filter(docs, F.xxhash64(doc), cut(bits), size)
-    found = found.select(F.col("doc").alias("_doc"), F.col("text_key").alias("_key"), "spans", "removed")
-    rows = maybe.join(found, (doc == F.col("_doc")) & (F.xxhash64("text") == F.col("_key")), "left")
-    raw, lines = F.split("text", "\n", -1), _lines(F.col("text"))
-    real = F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: F.get("_lines", i) != "")
-    rows = rows.withColumn("_lines", lines).withColumn("_real", real)
-    place = lambda k: F.get("_real", k.cast("int"))
-    gone = F.transform("spans", lambda s: F.struct(place(s["start"]).alias("start"), place(s["last"]).alias("last")))
-    rows = rows.withColumn("_gone", gone)
-    within = lambda i: F.exists("_gone", lambda s: (s["start"] <= i) & (i <= s["last"]))
-    kept = F.filter(raw, lambda _, i: (F.get("_lines", i) == "") | ~within(i))
-    others = [c for c in docs.columns if c != "text"]
+        return docs.select(*own(docs), none)
+    bits, size = key_filter(found, F.xxhash64("doc", "text_key"), count)
+    maybe, clear = split_by_filter(docs, F.xxhash64(_doc(), F.xxhash64("text")), cut(bits), size)
+    name = fresh(docs)
+    doc, key, spans, removed, lines, real, gone = map(name, ("doc", "key", "spans", "removed", "lines", "real", "gone"))
+    told = found.toDF(doc, key, spans, removed)
+    rows = maybe.join(told, (_doc() == F.col(doc)) & (F.xxhash64("text") == F.col(key)), "left")
+    rows = rows.withColumn(lines, _lines(F.col("text")))
+    rows = rows.withColumn(real, F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: F.get(lines, i) != ""))
+    place = lambda k: F.get(real, k.cast("int"))
+    rows = rows.withColumn(gone, F.flatten(F.transform(spans, lambda s: F.sequence(place(s["start"]), place(s["last"])))))
+    raw = F.arrays_zip(F.split("text", "\n", -1).alias("raw"), F.col(lines).alias("line"))
+    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.filter(gone, lambda i: F.get(lines, i) != ""))
+    rows = rows.withColumn(gone, stay).withColumn(lines, raw)
+    kept = F.array_join(F.transform(gone, lambda i: F.get(lines, i)["raw"]), "\n")
     rows = rows.select(
-        *others,
-        F.when(F.col("spans").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text"),
-        F.coalesce("removed", F.lit(0)).alias("removed"),
+        *own(docs, "text"),
+        F.when(F.col(spans).isNull(), F.col("text")).otherwise(kept).alias("text"),
+        F.coalesce(removed, F.lit(0)).alias("removed"),
     )
-    return clear.select("*", none).unionByName(rows.select(*docs.columns, "removed"))
+    pick = [F.col("`" + c.replace("`", "``") + "`") for c in columns]
+    return clear.select(*own(docs), none).unionByName(rows.select(*pick))

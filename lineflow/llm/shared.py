@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import os
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -53,10 +54,12 @@ def text_batches(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, else (tests only) a new one."""
+    """The folder all executors share: ``spark.checkpoint.dir``, else, on one machine only, a new one."""
     sc = spark.sparkContext
     known = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if known is None:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         known = tempfile.mkdtemp(prefix="lineflow-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(known)
@@ -78,6 +81,26 @@ def scratch(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), f"lineflow-scratch-{name}-{uuid.uuid4().hex}")
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a table that ``scratch`` named, on whatever file system it is."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def fresh(*frames: DataFrame) -> Callable[[str], str]:
+    """A maker of column names that none of the frames has: as many underscores go in front as are needed."""
+    taken = [c for df in frames for c in df.columns]
+    lead = "_"
+    while any(c.startswith(lead) for c in taken):
+        lead += "_"
+    return lambda name: lead + name
+
+
+def own(df: DataFrame, *but: str) -> list[Column]:
+    """The columns of ``df`` but some, quoted: names may hold dots."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns if c not in but]
+
+
 def lookup(rows: DataFrame, table: DataFrame, key: str, total: int, weight: str = "n") -> DataFrame:
     """Left join of ``rows`` with ``table`` (unique ``key``; ``weight`` = rows that carry it).
 
@@ -95,35 +118,31 @@ def lookup(rows: DataFrame, table: DataFrame, key: str, total: int, weight: str
 def key_filter(keys: DataFrame, hashed: Column, count: int) -> tuple[DataFrame, int]:
     """A bitmap of the hashes of ``keys``: rows (bucket, bits), and its number of bits.
 
-    About 16 bits a key up to MAX_FILTER_BITS, beyond which more rows pass, never fewer.
+    About 16 bits a key up to MAX_FILTER_BITS, beyond which more rows pass, never fewer.  Keys are dealt by
+    bucket, so that each bucket's bits are made in one place.
     """
     size = BUCKET_BITS
     while size < min(16 * count, MAX_FILTER_BITS):
         size *= 2
     at = F.pmod(hashed, F.lit(size))
-    bits = (
-        keys.select(at.alias("_at"))
-        .groupBy((F.col("_at") / BUCKET_BITS).cast("long").alias("_bucket"))
-        .agg(F.bitmap_construct_agg(F.col("_at") % BUCKET_BITS).alias("_bits"))
-    )
-    return bits, size
+    dealt = keys.select(at.alias("at")).select((F.col("at") / BUCKET_BITS).cast("long").alias("bucket"), (F.col("at") % BUCKET_BITS).alias("place"))
+    return dealt.repartition("bucket").groupBy("bucket").agg(F.bitmap_construct_agg("place").alias("bits")), size
 
 
 def split_by_filter(rows: DataFrame, hashed: Column, bits: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
     """Rows whose key may be among the keys of a ``key_filter``, and rows whose key is not."""
-    at = F.pmod(hashed, F.lit(size))
-    byte = ((F.col("_at") % BUCKET_BITS) / 8).cast("int")
-    value = F.conv(F.hex(F.substring(F.col("_bits"), byte + 1, F.lit(1))), 16, 10).cast("int")
-    hit = F.coalesce(F.expr("shiftright(_value, cast(_at % 8 as int)) & 1") == 1, F.lit(False))
+    at, bucket, mask, hit = map(fresh(rows), ("at", "bucket", "bits", "hit"))
+    byte = ((F.col(at) % BUCKET_BITS) / 8).cast("int")
+    value = F.conv(F.hex(F.substring(F.col(mask), byte + 1, F.lit(1))), 16, 10).cast("int")
+    met = F.coalesce(F.getbit(value, (F.col(at) % 8).cast("int")) == 1, F.lit(False))
     marked = (
-        rows.withColumn("_at", at)
-        .withColumn("_bucket", (F.col("_at") / BUCKET_BITS).cast("long"))
-        .join(F.broadcast(bits), "_bucket", "left")
-        .withColumn("_value", value)
-        .withColumn("_hit", hit)
+        rows.withColumn(at, F.pmod(hashed, F.lit(size)))
+        .withColumn(bucket, (F.col(at) / BUCKET_BITS).cast("long"))
+        .join(F.broadcast(bits.toDF(bucket, mask)), bucket, "left")
+        .withColumn(hit, met)
     )
-    pick = lambda keep: marked.filter(keep).select(*rows.columns)
-    return pick(F.col("_hit")), pick(~F.col("_hit"))
+    pick = lambda keep: marked.filter(keep).select(*own(rows))
+    return pick(F.col(hit)), pick(~F.col(hit))
 
 
 def drop_rows(docs: DataFrame, drops: DataFrame, text_key: Column) -> DataFrame:
@@ -138,16 +157,11 @@ def drop_rows(docs: DataFrame, drops: DataFrame, text_key: Column) -> DataFrame:
         return docs
     bits, size = key_filter(drops, F.xxhash64("doc_id"), count)
     maybe, clear = split_by_filter(docs, F.xxhash64("doc_id"), cut(bits), size)
-    named = drops.select(
-        F.col("doc_id").alias("_drop_id"), F.col("text_key").alias("_drop_key"), F.col("spare").alias("_spare")
-    )
-    keyed = maybe.withColumn("_key", text_key)
-    told = keyed.join(
-        named, F.col("doc_id").eqNullSafe(F.col("_drop_id")) & F.col("_key").eqNullSafe(F.col("_drop_key")), "left"
-    )
-    free = told.filter(F.col("_spare").isNull()).select(*docs.columns)
-    kept = clear.unionByName(free)
+    key, drop_id, drop_key, spare = map(fresh(docs), ("key", "drop_id", "drop_key", "spare"))
+    met = F.col("doc_id").eqNullSafe(F.col(drop_id)) & F.col(key).eqNullSafe(F.col(drop_key))
+    told = maybe.withColumn(key, text_key).join(drops.toDF(drop_id, drop_key, spare), met, "left")
+    kept = clear.unionByName(told.filter(F.col(spare).isNull()).select(*own(docs)))
     if drops.filter("spare").isEmpty():
         return kept
-    one = told.filter(F.col("_spare")).dropDuplicates(["doc_id", "_key"]).select(*docs.columns)
+    one = told.filter(F.col(spare)).dropDuplicates(["doc_id", key]).select(*own(docs))
     return kept.unionByName(one)
