@@ -34,16 +34,17 @@ def _by_range(df: DataFrame, order: list[str], ranges: int) -> DataFrame:
     return rows.select(*(rows[c] for c in df.columns), part.alias("_part"))
 
 
-def running(df: DataFrame, order: list[str], writer: list[str], sums: dict[str, Column]) -> DataFrame:
+def running(df: DataFrame, order: list[str], writer: list[str], sums: dict[str, Column], ranges_by: list[str] | None = None) -> DataFrame:
     """``df`` with running sums, each row included, over a writer's rows in ``order``.
 
     A writer may own most rows, so rows are dealt by ranges of ``order``; sums run within a
     writer's share of a range, and the totals of its ranges before are added.  The ranges' bounds come
     from a sample that is taken at once, and a row's range depends on nothing else, however often Spark computes it.
-    Rows that ``order`` doesn't tell apart are numbered in any order.
+    Rows that ``order`` doesn't tell apart are numbered in any order.  ``ranges_by`` are the first columns of ``order``, where
+    these alone tell rows apart well enough and the others are large.
     """
     ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = _by_range(df.select("*", *(c.cast("bigint").alias(k) for k, c in sums.items())), order, ranges)
+    dealt = _by_range(df.select("*", *(c.cast("bigint").alias(k) for k, c in sums.items())), ranges_by or order, ranges)
     inside = Window.partitionBy(*writer, "_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     rows = dealt.select("*", *(F.sum(k).over(inside).alias(f"_in_{k}") for k in sums))
     totals = dealt.groupBy(*writer, "_part").agg(*(F.sum(k).alias(f"_all_{k}") for k in sums))
