@@ -6,14 +6,16 @@ no participants.  The result has a row per conversation, perspective and turn: i
 the rendered dialogue, the segment's place there (start, in characters), and a mask that is 1
 where the model is to learn: the assistant's segments, from learn_from up to the end.
 
-A long conversation is never gathered: turns are numbered in blocks of BLOCK turn numbers, and
-block totals, not turns, are summed along the conversation.  Participants of conversations
-with many turns are joined under SALTS salts.
+Conversations of many turns (at most HOT_KEYS of them are above the limit) are joined with their participants under
+SALTS salts, and their running numbers and places come from sums by ranges of (turn, role, beginning of the text), so none of
+them is gathered in one task unless most of its turns agree in all of these.  Others fit a window each.
+
+Names hold letters, digits, ``_`` and ``-``; other characters become ``_``.  Participants of a conversation whose names
+would then be the same are told apart by ``.2``, ``.3`` and so on, in the order of their roles.
 
 Turns with equal numbers are ordered by role and text; equal rows are rendered each.  A null
 role counts as ``unknown``, a null text as empty, a null turn comes first; a null conv_id
-is a conversation of its own.  Marks in texts and names are broken up (``<|`` becomes
-``< |``), and other characters than letters, digits, ``_`` and ``-`` in names become ``_``.
+is a conversation of its own.  Marks in texts and names are broken up (``<|`` becomes ``< |``).
 Conversations of system turns only give no rows.  Extra columns are ignored.
 """
 
@@ -23,9 +25,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lineflow.llm.shared import HOT_FLOOR, HOT_KEYS, cut
+from lineflow.operators.batch import running
 
-BLOCK = 1024
 SALTS = 16
+#: Characters of a text that ranges of a long conversation go by.
+BEGINNING = 64
 
 
 def _safe(text: Column) -> Column:
@@ -42,25 +46,38 @@ def _turns(conversations: DataFrame) -> DataFrame:
     )
 
 
+def _names(people: DataFrame) -> DataFrame:
+    """(conv_id, role, name) of participants, names distinct in a conversation."""
+    plain = F.regexp_replace("role", r"[^A-Za-z0-9_-]", "_")
+    among = Window.partitionBy("conv_id", "plain").orderBy("role")
+    named = people.withColumn("plain", plain).withColumn("k", F.row_number().over(among))
+    name = F.when(F.col("k") == 1, F.col("plain")).otherwise(F.concat("plain", F.lit("."), F.col("k").cast("string")))
+    return named.select("conv_id", "role", name.alias("name"), "k")
+
+
 def rotate(conversations: DataFrame) -> DataFrame:
     """conv_id, perspective, n (place from 0), turn, start, segment, mask, learn_from."""
     turns = _turns(conversations)
     sizes = cut(turns.groupBy("conv_id").agg(F.count("*").alias("n")))
     total = sizes.agg(F.sum("n")).first()[0] or 0
-    hot = sizes.filter(F.col("n") > max(HOT_FLOOR, total // HOT_KEYS))  # at most HOT_KEYS ids
-    hot = F.broadcast(hot.select(F.col("conv_id").alias("_hot"), F.lit(True).alias("_is_hot")))
-    mark = lambda df: df.join(hot, F.col("conv_id").eqNullSafe(F.col("_hot")), "left")
-    people = turns.filter("role <> 'system'").select("conv_id", "role").distinct()
+    hot = cut(sizes.filter(F.col("n") > max(HOT_FLOOR, total // HOT_KEYS)))  # at most HOT_KEYS ids
+    any_hot = not hot.isEmpty()
+    marks = F.broadcast(hot.select(F.col("conv_id").alias("_hot"), F.lit(True).alias("_is_hot")))
+    mark = lambda df: df.join(marks, F.col("conv_id").eqNullSafe(F.col("_hot")), "left").drop("_hot")
     salts = F.when(F.col("_is_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    people = mark(people).select(
-        F.col("conv_id").alias("_conv"), F.col("role").alias("perspective"), F.explode(salts).alias("_psalt")
-    )
     salt = F.when(F.col("_is_hot"), F.pmod(F.xxhash64("turn", "role", "text"), F.lit(SALTS))).otherwise(0)
     salted = mark(turns).withColumn("_salt", salt.cast("int"))
-    met = F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("_salt") == F.col("_psalt"))
-    rows = salted.join(people, met)
-    own = F.col("role") == F.col("perspective")
+    of = F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("_salt") == F.col("_psalt"))
+    people = turns.filter("role <> 'system'").select("conv_id", "role").distinct()
+    others = cut(_names(people).filter("k > 1"))  # names that another participant has already
     name = F.regexp_replace("role", r"[^A-Za-z0-9_-]", "_")
+    if not others.isEmpty():
+        told = mark(others).select(F.col("conv_id").alias("_conv"), F.col("role").alias("_role"), "name", F.explode(salts).alias("_psalt"))
+        salted = salted.join(told, of & (F.col("role") == F.col("_role")), "left").drop("_conv", "_role", "_psalt")
+        name = F.coalesce("name", name)
+    people = mark(people).select(F.col("conv_id").alias("_conv"), F.col("role").alias("perspective"), F.explode(salts).alias("_psalt"))
+    rows = salted.join(people, of)
+    own = F.col("role") == F.col("perspective")
     head = (
         F.when(F.col("role") == "system", F.lit("<|im_start|>system\n"))
         .when(own, F.lit("<|im_start|>assistant\n"))
@@ -68,43 +85,17 @@ def rotate(conversations: DataFrame) -> DataFrame:
     )
     segment = F.concat(head, _safe(F.col("text")), F.lit("<|im_end|>\n"))
     rows = rows.select(
-        "conv_id",
-        "perspective",
-        "turn",
-        "role",
-        "text",
-        segment.alias("segment"),
-        own.cast("int").alias("mask"),
-        F.char_length(head).alias("learn_from"),
-        F.floor(F.col("turn") / BLOCK).alias("block"),
-    ).withColumn("size", F.char_length("segment").cast("long"))
-    part = ["conv_id", "perspective", "block"]
-    before = Window.partitionBy(*part).orderBy("turn", "role", "text").rowsBetween(Window.unboundedPreceding, -1)
-    numbered = rows.select(
-        *part,
-        "turn",
-        "segment",
-        "mask",
-        "learn_from",
-        F.count("*").over(before).alias("n_in"),
-        F.coalesce(F.sum("size").over(before), F.lit(0)).alias("start_in"),
-    )
-    blocks = rows.groupBy(*part).agg(F.count("*").alias("turns"), F.sum("size").alias("chars"))
-    along = Window.partitionBy("conv_id", "perspective").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.select(
-        *(F.col(x).alias(f"_{x}") for x in part),
-        F.coalesce(F.sum("turns").over(along), F.lit(0)).alias("n_before"),
-        F.coalesce(F.sum("chars").over(along), F.lit(0)).alias("chars_before"),
-    )
-    same = F.col("conv_id").eqNullSafe(F.col("_conv_id"))
-    same = same & (F.col("perspective") == F.col("_perspective")) & (F.col("block") == F.col("_block"))
-    return numbered.join(blocks, same).select(
-        "conv_id",
-        "perspective",
-        (F.col("n_before") + F.col("n_in")).alias("n"),
-        "turn",
-        (F.col("chars_before") + F.col("start_in")).alias("start"),
-        "segment",
-        "mask",
-        "learn_from",
-    )
+        "conv_id", "perspective", "turn", "role", "text", segment.alias("segment"), own.cast("int").alias("mask"),
+        F.char_length(head).alias("learn_from"), "_is_hot",
+    )
+    size = F.char_length("segment").cast("long")
+    result = ["conv_id", "perspective", "n", "turn", "start", "segment", "mask", "learn_from"]
+    upto = Window.partitionBy("conv_id", "perspective").orderBy("turn", "role", "text").rowsBetween(Window.unboundedPreceding, 0)
+    cold = rows.filter("_is_hot is null").select("*", (F.count("*").over(upto) - 1).alias("n"), (F.sum(size).over(upto) - size).alias("start"))
+    if not any_hot:
+        return cold.select(*result)
+    long = rows.filter("_is_hot").withColumn("beginning", F.left("text", F.lit(BEGINNING)))
+    order = ["turn", "role", "beginning", "text"]
+    long = running(long, order, ["conv_id", "perspective"], {"_n": F.lit(1), "_end": size}, ranges_by=order[:3])
+    long = long.select("*", (F.col("_n") - 1).alias("n"), (F.col("_end") - size).alias("start"))
+    return cold.select(*result).unionByName(long.select(*result))

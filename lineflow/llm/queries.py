@@ -101,12 +101,17 @@ OP8_SQL = r"""
 WITH t AS (
     SELECT conv_id, coalesce(turn, -1) AS turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text
     FROM conversations
-), p AS (SELECT DISTINCT conv_id, role AS perspective FROM t WHERE role <> 'system'), r AS (
-    SELECT t.*, perspective,
+), p AS (SELECT DISTINCT conv_id, role AS perspective FROM t WHERE role <> 'system'), q AS (
+    SELECT conv_id, perspective, plain || CASE WHEN k > 1 THEN '.' || k ELSE '' END AS name
+    FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, plain ORDER BY perspective) AS k
+          FROM (SELECT *, regexp_replace(perspective, '[^A-Za-z0-9_-]', '_', 'g') AS plain FROM p))
+), r AS (
+    SELECT t.*, p.perspective,
            CASE WHEN role = 'system' THEN '<|im_start|>system' || chr(10)
-                WHEN role = perspective THEN '<|im_start|>assistant' || chr(10)
-                ELSE '<|im_start|>user name=' || regexp_replace(role, '[^A-Za-z0-9_-]', '_', 'g') || chr(10) END AS head
+                WHEN role = p.perspective THEN '<|im_start|>assistant' || chr(10)
+                ELSE '<|im_start|>user name=' || name || chr(10) END AS head
     FROM t JOIN p ON t.conv_id IS NOT DISTINCT FROM p.conv_id
+    LEFT JOIN q ON t.conv_id IS NOT DISTINCT FROM q.conv_id AND t.role = q.perspective
 ), s AS (SELECT *, head || replace(text, '<|', '< |') || '<|im_end|>' || chr(10) AS segment FROM r)
 SELECT conv_id, perspective, row_number() OVER w - 1 AS n, turn,
        CAST(sum(length(segment)) OVER w AS BIGINT) - length(segment) AS start, segment,
