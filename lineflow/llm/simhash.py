@@ -124,13 +124,15 @@ def _longs(values: list[int]):
 
 
 def with_partners(fps: DataFrame) -> DataFrame:
-    """Of distinct ``fp``, those that agree with another one on four of seven blocks."""
-    keyed = fps.select("fp", F.posexplode(_longs(_block_keys())).alias("table", "mask")).select(
-        "table", F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp"
-    )
-    shared = keyed.groupBy("table", "key").agg(F.min("fp").alias("low"), F.max("fp").alias("high"))
-    shared = shared.filter("low <> high").select("table", "key")
-    return keyed.join(shared, ["table", "key"], "left_semi").select("fp").distinct()
+    """Of distinct ``fp``, those that agree with another one on four of seven blocks, and few others.
+
+    Keys are hashed with the number of their blocks; where hashes of different keys are equal, more stay, never fewer.
+    """
+    key = F.xxhash64("table", F.col("fp").bitwiseAND(F.col("mask"))).alias("key")
+    keyed = fps.select("fp", F.posexplode(_longs(_block_keys())).alias("table", "mask")).select(key, "fp")
+    shared = keyed.groupBy("key").agg(F.min("fp").alias("low"), F.max("fp").alias("high"), F.count("*").alias("n"))
+    shared = cut(shared.filter("low <> high").select("key", "n"))
+    return lookup(keyed, shared, "key", len(_block_keys()) * fps.count()).filter("n is not null").select("fp").distinct()
 
 
 def links(fps: DataFrame) -> DataFrame:
@@ -164,20 +166,22 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.filter("a <> b").distinct()
 
 
+def _is_star(edges: DataFrame) -> bool:
+    """Whether each node of edges (a, b) has one b, and no b is an a: then these are the classes."""
+    least = edges.select(F.col("b").alias("a"))
+    return edges.groupBy("a").count().filter("count > 1").isEmpty() and edges.join(least, "a", "left_semi").isEmpty()
+
+
 def connect(edges: DataFrame) -> DataFrame:
     """(a, least): the least node reachable from each node ``a`` that isn't itself the least.
 
     Alternating large-star and small-star rounds; each cuts its lineage, and their number
     grows with the logarithm of the longest chain.
     """
-    said = None
     edges = cut(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    while True:
-        row = edges.agg(F.count("*"), F.expr("sum(cast(xxhash64(a, b) as decimal(38, 0)))")).first()
-        if tuple(row) == said or row[0] == 0:
-            return edges.select("a", F.col("b").alias("least"))
-        said = tuple(row)
+    while not _is_star(edges):
         edges = cut(_star(_star(edges, True), False))
+    return edges.select("a", F.col("b").alias("least"))
 
 
 def _classes(prints: DataFrame) -> DataFrame:
