@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
-from lineflow.llm.shared import cut, held, text_batches
+from lineflow.llm.shared import cut, fresh, held, own, text_batches
 
 WINDOW = 10
 #: Item words in one automaton: about 1 kB each in a worker.
@@ -231,7 +231,7 @@ def _scanner(docs: DataFrame, shard: list[tuple[str, list[bytes], bool]]):
             rows.append((starts, ends, *told, len(w), list(items), _cut_out(own, starts, ends) if starts else None))
         return _arrow(FOUND, rows)
 
-    return scan.asNondeterministic()  # else Spark may run it once more for a filter
+    return scan.asNondeterministic(), sent  # else Spark may run it once more for a filter
 
 
 @arrow_udf(_struct(DIGEST))
@@ -255,38 +255,44 @@ def _without(text: pa.Array, starts: pa.Array, ends: pa.Array) -> pa.Array:
     return pa.array([_cut_out(t, s, e) if s else None for t, s, e in rows], pa.string())
 
 
-def _with_hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` with a struct column ``_hits``: n_words, DIGEST and clean (the text without hits, null if there are none)."""
-    shards = _shards(benchmark)
-    scan = _scanner(docs, next(shards))
-    more = [_scanner(docs, shard) for shard in shards]
-    rows = docs.withColumn("_scan", scan("text"))
-    if not more:
-        return rows.select(*docs.columns, F.col("_scan").alias("_hits"))
-    key = [F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_key")]
+def _with_hits(docs: DataFrame, benchmark: DataFrame, hits: str) -> DataFrame:
+    """``docs`` with a struct column ``hits``: n_words, DIGEST and clean (the text without hits, null if there are none).
+
+    Of a benchmark of several shards, each but the first is sent, streamed past and given up before the next one.
+    """
+    shards, name = _shards(benchmark), fresh(docs)
+    scan, _ = _scanner(docs, next(shards))
+    scanned, doc, key, digest = map(name, ("scan", "doc", "key", "digest"))
+    rows = docs.withColumn(scanned, scan("text"))
+    kinds = {"starts": "array<int>", "ends": "array<int>", "items": "array<string>"}
     found = None
-    for other in more:
-        part = docs.select("doc_id", "text", other("text").alias("_more")).filter(F.size("_more.starts") > 0)
-        part = part.select(*key, "_more.starts", "_more.ends", "_more.items").dropDuplicates(["_id", "_key"])
+    for shard in shards:
+        other, sent = _scanner(docs, shard)
+        part = docs.select("doc_id", "text", other("text").alias("more")).filter(F.size("more.starts") > 0)
+        part = part.select(F.col("doc_id").alias(doc), F.xxhash64("text").alias(key), *(f"more.{x}" for x in kinds))
+        part = cut(part.dropDuplicates([doc, key]))
+        sent.destroy()
         found = part if found is None else found.unionByName(part)
-    kinds = {"starts": "array<int>", "ends": "array<int>", "items": "array<string>"}
-    found = found.groupBy("_id", "_key").agg(*(F.flatten(F.collect_list(x)).alias(f"_{x}") for x in kinds))
-    met = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_key"))
+    if found is None:
+        return rows.select(*own(docs), F.col(scanned).alias(hits))
+    found = found.groupBy(doc, key).agg(*(F.flatten(F.collect_list(x)).alias(name(x)) for x in kinds))
+    met = F.col("doc_id").eqNullSafe(F.col(doc)) & F.xxhash64("text").eqNullSafe(F.col(key))
     rows = rows.join(cut(found), met, "left")
-    every = [F.concat(F.col(f"_scan.{x}"), F.coalesce(F.col(f"_{x}"), F.array().cast(k))) for x, k in kinds.items()]
-    rows = rows.withColumn("_digest", _digest.asNondeterministic()(*every))
-    clean = _without(F.col("text"), F.col("_digest.starts"), F.col("_digest.ends")).alias("clean")
-    return rows.select(*docs.columns, F.struct(F.col("_scan.n_words").alias("n_words"), "_digest.*", clean).alias("_hits"))
+    every = [F.concat(F.col(f"{scanned}.{x}"), F.coalesce(F.col(name(x)), F.array().cast(k))) for x, k in kinds.items()]
+    rows = rows.withColumn(digest, _digest.asNondeterministic()(*every))
+    clean = _without(F.col("text"), F.col(f"{digest}.starts"), F.col(f"{digest}.ends")).alias("clean")
+    told = [F.col(f"{scanned}.n_words").alias("n_words"), *(F.col(f"{digest}.{x}").alias(x) for x in DIGEST), clean]
+    return rows.select(*own(docs), F.struct(*told).alias(hits))
 
 
 def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, spans of hit words."""
-    rows = _with_hits(docs.select("doc_id", "text"), benchmark)
+    rows = _with_hits(docs.select("doc_id", "text"), benchmark, "hits")
     return rows.select(
         "doc_id",
-        *(f"_hits.{x}" for x in ("n_words", "n_hit", "n_items", "items_sha256")),
-        (F.col("_hits.n_hit") > 0).alias("contaminated"),
-        F.arrays_zip(F.col("_hits.starts").alias("start"), F.col("_hits.ends").alias("end")).alias("spans"),
+        *(f"hits.{x}" for x in ("n_words", "n_hit", "n_items", "items_sha256")),
+        (F.col("hits.n_hit") > 0).alias("contaminated"),
+        F.arrays_zip(F.col("hits.starts").alias("start"), F.col("hits.ends").alias("end")).alias("spans"),
     )
 
 
@@ -295,12 +301,12 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, most_hit: float = MOST_
 
     ``n_chars``, if there, follows the text where a span was removed.
     """
-    rows = _with_hits(docs, benchmark)
-    share = F.col("_hits.n_hit") / F.greatest(F.col("_hits.n_words"), F.lit(1))
+    hits = fresh(docs)("hits")
+    rows = _with_hits(docs, benchmark, hits)
+    share = F.col(f"{hits}.n_hit") / F.greatest(F.col(f"{hits}.n_words"), F.lit(1))
     rows = rows.filter(share <= most_hit)
-    hit = F.col("_hits.n_hit") > 0
-    rows = rows.withColumn("text", F.coalesce(F.col("_hits.clean"), F.col("text")))
+    rows = rows.withColumn("text", F.coalesce(F.col(f"{hits}.clean"), F.col("text")))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        rows = rows.withColumn("n_chars", F.when(hit, F.char_length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return rows.select(*docs.columns)
+        rows = rows.withColumn("n_chars", F.when(F.col(f"{hits}.n_hit") > 0, F.char_length("text").cast(kind)).otherwise(F.col("n_chars")))
+    return rows.select(*own(docs))
