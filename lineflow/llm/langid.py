@@ -32,6 +32,8 @@ from lineflow.llm.shared import held, text_batches
 TOP = 300
 #: Documents of a language that its profile is learned from, in expectation.
 MOST_EACH = 10_000
+#: Languages that have a profile: those with most documents, should the column hold more values.
+MOST_LANGUAGES = 1000
 #: Characters whose n-grams are counted at once while learning.
 AT_ONCE = 2_000_000
 UNKNOWN = "und"
@@ -96,10 +98,12 @@ def learn(docs: DataFrame) -> dict[str, list[int]]:
     text_batches(docs.sparkSession)
     known = docs.select(F.col("doc_id").cast("long"), "text", F.col("lang").cast("string"))
     known = known.filter("lang is not null and text is not null").filter(~held_out())
-    sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
+    most = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES)
+    sizes = {r["lang"]: r["count"] for r in most.collect()}
     if not sizes:
         return {}
     share = F.create_map(*(F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, MOST_EACH / n))))
+    known = known.filter(F.col("lang").isin(*sizes))
     picked = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.element_at(share, F.col("lang")) * (1 << 20))
     counts = picked.select("lang", "text").mapInArrow(_counts, "lang string, code long, n long")
     counts = counts.groupBy("lang", "code").agg(F.sum("n").alias("n"))

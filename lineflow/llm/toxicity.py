@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
-from lineflow.llm.shared import cut, held, text_batches
+from lineflow.llm.shared import cut, fresh, held, own, text_batches
 
 #: Labelled documents of either kind that are learned from at most.
 MOST_EACH = 10_000
@@ -237,5 +237,5 @@ def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def reject(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` without those whose score reaches the threshold."""
-    score = scorer(learn(docs, labels))
-    return docs.withColumn("_s", score("text")).filter(F.col("_s.score") < THRESHOLD).select(*docs.columns)
+    score, told = scorer(learn(docs, labels)), fresh(docs)("scored")
+    return docs.withColumn(told, score("text")).filter(F.col(f"{told}.score") < THRESHOLD).select(*own(docs))
