@@ -6,14 +6,21 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def _behind_backslash(c: Column, marks: str) -> Column:
+    """A backslash before each of ``marks``: plain searches of bytes, much cheaper than a pattern.  A backslash comes first in ``marks``."""
+    for mark in marks:
+        c = F.replace(c, F.lit(mark), F.lit("\\" + mark))
+    return c
+
+
 def escape(c: Column) -> Column:
     """A backslash before blank, comma, equals sign, line ends and backslash, as names and tags need it."""
-    return F.regexp_replace(c, r"([ ,=\n\r\\])", r"\\$1")
+    return _behind_backslash(c, "\\ ,=\n\r")
 
 
 def escape_quoted(c: Column) -> Column:
     """A backslash before quotation mark, line ends and backslash, as quoted strings need it."""
-    return F.regexp_replace(c, r'(["\n\r\\])', r"\\$1")
+    return _behind_backslash(c, '\\"\n\r')
 
 
 def unescape(c: Column) -> Column:

@@ -21,52 +21,54 @@ _NAME = r"(?:[^,=\\ ]++|\\.)++"
 _TAG = r"(?:[^, \\]++|\\.)*+"
 _VALUE = r'(?:[^ ,"\\]++|\\.|"(?:[^"\\]++|\\.)*+")++'
 _TAGS, _FIELDS = rf"(?:,{_NAME}={_TAG})*+", rf"{_NAME}={_VALUE}(?:,{_NAME}={_VALUE})*+"
+#: More characters than a text has, for substrings up to its end.
+_REST = 1 << 30
 #: Array levels that a decoded column may have.
 LEAF = {"string": "string", "boolean": "boolean", "int": "bigint", "float": "double", "timestamp": "bigint"}
 
 
-def split_line(line: Column) -> Column:
-    """struct(table, tags, fields, at) of a version-1 line, all but the table still escaped; of texts that are no line, empty parts.
+def _once(rows: DataFrame, name: str, value: Column) -> DataFrame:
+    """``rows`` with a column in a projection of its own, so what reads it several times computes it once."""
+    return rows.select("*", value.alias(name))
 
-    Each part is cut off the front of what the one before left, so a line is read once.
+
+def _parts(rows: DataFrame, line: Column, lead: str) -> DataFrame:
+    """``rows`` with the parts of a version-1 line: table, tags and fields, all still escaped, and at.
+
+    Each part is cut off the front of what the one before left, so a line is read once.  Texts that are no line have empty parts.
+    Names of the new columns start with ``lead``.
     """
-    line = F.regexp_replace(line, r"\n\z", "")
     begin = lambda text, pattern: F.regexp_extract(text, f"(?s)^(?:{pattern})", 0)
-    behind = lambda text, part: F.substring(text, F.char_length(part) + 1, F.char_length(text))
-    table = begin(line, _TABLE)
-    rest = behind(line, table)
-    tags = begin(rest, _TAGS)
-    rest = behind(rest, tags)
-    fields = begin(rest, f" {_FIELDS}")
-    at = behind(rest, fields)
-    fits = (table != "") & at.rlike(r"^(?: -?\d+)?\z")
+    behind = lambda text, part: F.substring(text, F.char_length(part) + 1, F.lit(_REST))
+    body, table, tail, tags, rest, fields, at, fits = (F.col(lead + k) for k in ("body", "table", "tail", "tags", "rest", "fields", "at", "fits"))
+    ends = line.endswith("\n")
+    rows = _once(rows, lead + "body", F.when(ends, F.substring(line, F.lit(1), F.char_length(line) - 1)).otherwise(line))
+    rows = _once(rows, lead + "table", begin(body, _TABLE))
+    rows = _once(rows, lead + "tail", behind(body, table))
+    rows = _once(rows, lead + "tags", begin(tail, _TAGS))
+    rows = _once(rows, lead + "rest", behind(tail, tags))
+    rows = _once(rows, lead + "fields", begin(rest, f" {_FIELDS}"))
+    rows = _once(rows, lead + "at", behind(rest, fields))
+    rows = _once(rows, lead + "fits", (table != "") & at.rlike(r"^(?: -?\d+)?\z"))
     told = lambda part: F.when(fits, part).otherwise("")
-    return F.struct(
-        text.unescape(told(table)).alias("table"),
-        told(tags).alias("tags"),
-        told(F.substring(fields, F.lit(2), F.char_length(fields))).alias("fields"),
-        F.when(fits, F.substring(at, F.lit(2), F.lit(20)).try_cast("bigint")).alias("at"),
-    )
+    pairs = lambda part, pair: F.regexp_extract_all(told(part), F.lit(f"(?s){pair}"), F.lit(0))
+    rows = _once(rows, lead + "tag_pairs", pairs(tags, f"{_NAME}={_TAG}"))
+    rows = _once(rows, lead + "field_pairs", pairs(fields, f"{_NAME}={_VALUE}"))
+    rows = _once(rows, lead + "told_table", text.unescape(told(table)))
+    return _once(rows, lead + "told_at", F.when(fits, F.substring(at, F.lit(2), F.lit(20)).try_cast("bigint")))
 
 
-def _one(part: Column, name: str, before: str, pair: str, value: str) -> Column:
+def _one(pairs: Column, name: str) -> Column:
     """The value behind ``name=`` among pairs, still escaped; null where there is none.  Of equal names the first counts."""
-    own = re.escape(re.sub(r"([ ,=\n\r\\])", r"\\\1", name))
-    found = F.regexp_extract(part, f"(?s)^(?:{pair})*?{before}{own}(={value})(?=,|\\z)", 1)
-    return F.when(found != "", F.substring(found, F.lit(2), F.char_length(found)))
-
-
-def tag_of(tags: Column, name: str) -> Column:
-    return _one(tags, name, ",", f",{_NAME}={_TAG}", _TAG)
-
-
-def field_of(fields: Column, name: str) -> Column:
-    return _one(fields, name, "", f"{_NAME}={_VALUE},", _VALUE)
+    own = re.sub(r"([ ,=\n\r\\])", r"\\\1", name) + "="
+    found = F.get(F.filter(pairs, lambda pair: pair.startswith(own)), 0)
+    return F.substring(found, F.lit(len(own) + 1), F.lit(_REST))
 
 
 def _typed(value: Column, kind: str) -> Column:
     if kind == "string":
-        return text.unescape(F.regexp_replace(value, r'(?s)^"(.*)"\z', "$1"))
+        quoted = value.startswith('"') & value.endswith('"')
+        return text.unescape(F.when(quoted, F.substring(value, F.lit(2), F.char_length(value) - 2)).otherwise(value))
     if kind == "boolean":
         return value == "t"
     if kind == "float":
@@ -79,12 +81,18 @@ def decode_text(lines: DataFrame, spec: RowSpec, line: str = "line") -> DataFram
 
     Timestamp fields are micros.  What a line lacks is null.
     """
-    others = [c for c in lines.columns if c != line]
-    rows = lines.select(*others, split_line(F.col(line)).alias("_l"))
-    tags = [text.unescape(tag_of(F.col("_l.tags"), s)).alias(s) for s in spec.symbols]
-    fields = [_typed(field_of(F.col("_l.fields"), f.name), f.kind).alias(f.name) for f in spec.fields]
-    at = [F.col("_l.at").alias(spec.at)] if spec.at else []
-    return rows.select(*others, F.col("_l.table").alias("table"), *tags, *fields, *at)
+    others = [F.col("`" + c.replace("`", "``") + "`") for c in lines.columns if c != line]
+    lead = "_"
+    while any(c.startswith(lead) for c in lines.columns):
+        lead += "_"
+    rows = _parts(lines, F.col(line), lead)
+    for kind, names in (("tag", spec.symbols), ("field", [f.name for f in spec.fields])):
+        for k, name in enumerate(names):
+            rows = rows.select("*", _one(F.col(f"{lead}{kind}_pairs"), name).alias(f"{lead}{kind}{k}"))
+    tags = [text.unescape(F.col(f"{lead}tag{k}")).alias(s) for k, s in enumerate(spec.symbols)]
+    fields = [_typed(F.col(f"{lead}field{k}"), f.kind).alias(f.name) for k, f in enumerate(spec.fields)]
+    at = [F.col(lead + "told_at").alias(spec.at)] if spec.at else []
+    return rows.select(*others, F.col(lead + "told_table").alias("table"), *tags, *fields, *at)
 
 
 # --- versions 2 and 3 ---

@@ -164,3 +164,19 @@ def test_parser_finds_line_ends_in_binary(x, v, unscaled, scale):
 def test_time_zone_does_not_matter(spark):
     df = spark.createDataFrame([(1, datetime(2024, 3, 10, 2, 30))], T.StructType([T.StructField("a", T.LongType()), T.StructField("ts", T.TimestampNTZType())]))
     assert lines(df, RowSpec("t", (), (Field("a", "int"),), at="ts")) == ["t a=1i 1710037800000000000\n"]
+
+
+def test_decode_odd_lines_and_names(spark):
+    spec = RowSpec("t", ("s",), (Field("v", "string"), Field("x", "int")))
+    told = [
+        ('t,s=a\\ b v="q\\"\\\\,=\n",x=3i 17\n', "a b", 'q"\\,=\n', 3),
+        ('t v="",x=1i,x=2i\n', None, "", 1),
+        ("t,s= x=-5i", "", None, -5),
+        ('t,s=a v="open\n', None, None, None),  # no whole line
+        ("", None, None, None),
+        (None, None, None, None),
+    ]
+    rows = spark.createDataFrame([(line, k, -k) for k, (line, *_) in enumerate(told)], "line string, _body long, `a.b` long")
+    found = decode_text(rows, spec).orderBy("_body").collect()
+    assert [tuple(r[c] for c in ("s", "v", "x")) for r in found] == [t[1:] for t in told]
+    assert [(r["_body"], r["a.b"]) for r in found] == [(k, -k) for k in range(len(told))]
