@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -98,16 +98,17 @@ def by_interval(df: DataFrame, micros: str, order: list[str], rows: int, interva
     """``df`` with ``batch`` by rows and time, in the order of events; the first row's time is where a writer starts.
 
     A writer's rows come in sorted Arrow batches, and only the state of three numbers is held between them.
+    Null is a writer like any other; the other columns pass as they are.
     """
     schema = T.StructType([*df.schema.fields, T.StructField("batch", T.LongType())])
     names = list(writer)
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, state = None, (0, 0, 0)
         for part in parts:
-            out = np.empty(len(part), np.int64)
-            keys = list(zip(*(part[n] for n in names), strict=True))
-            times = part[micros].to_numpy(np.int64)
+            out = np.empty(part.num_rows, np.int64)
+            keys = list(zip(*(part.column(n).to_pylist() for n in names), strict=True))
+            times = part.column(micros).to_numpy()
             cuts = [0, *(i for i in range(1, len(keys)) if keys[i] != keys[i - 1]), len(keys)]
             for a, b in zip(cuts, cuts[1:], strict=False):
                 if a == b:
@@ -115,10 +116,10 @@ def by_interval(df: DataFrame, micros: str, order: list[str], rows: int, interva
                 if keys[a] != key:
                     key, state = keys[a], (0, 0, int(times[a]))
                 out[a:b], state = flushes(times[a:b], rows, interval, state)
-            yield part.assign(batch=out)
+            yield part.append_column("batch", pa.array(out))
 
     dealt = df.repartition(*(F.col(n) for n in names)).sortWithinPartitions(*names, *order)
-    return dealt.mapInPandas(run, schema)
+    return dealt.mapInArrow(run, schema)
 
 
 def summary(batched: DataFrame, writer: list[str], *more: Column) -> DataFrame:

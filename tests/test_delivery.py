@@ -15,7 +15,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lineflow import ConfigError, Field, RowSpec, decode_binary, encode, from_config, from_env, register, save
-from lineflow.operators.batch import by_bytes, by_rows, flushes, running
+from lineflow.operators.batch import by_bytes, by_interval, by_rows, flushes, running
 from lineflow.operators.decode import DecodeError, parse
 from lineflow.operators.delivery import capacity_needed
 from lineflow.operators.schema import annotate, columns, merge
@@ -294,6 +294,14 @@ def test_flush_policy():
     assert flushes(times, 0, 0, (0, 0, 0))[0].tolist() == [0] * 6
 
 
+def test_batches_by_time_keep_null_writers_and_large_numbers(spark):
+    large = (1 << 62) + 1
+    rows = [(w, t * 10, None if t % 3 else large + t) for w in (None, 1, 2) for t in range(20)]
+    df = spark.createDataFrame(rows, "w long, us long, nanos long").repartition(3)
+    got = by_interval(df, "us", ["us"], 4, 1000, ["w"]).collect()
+    assert sorted(map(repr, got)) == sorted(repr(type(got[0])(w=w, us=us, nanos=n, batch=us // 40)) for w, us, n in rows)
+
+
 def test_running_sums_of_a_large_writer(spark):
     df = spark.range(500).selectExpr("id", "(id * 7919) % 503 as t", "if(id % 10 = 0, 'b', if(id % 10 = 1, null, 'a')) as w").repartition(5)
     got = running(df, ["t"], ["w"], {"place": F.lit(1), "total": F.col("id")}).collect()
