@@ -18,7 +18,7 @@ document labels are learned from; the sentences with high scores are then the of
 
 A sentence without a lexicon word scores 0, and so do null and empty texts, and all texts
 where there are no labels of both kinds to learn from.  A doc_id with several labels
-counts as toxic if one of them says so; null labels and null ids are left out, and a null
+counts as toxic if one of them says so; labels other than 0 and 1 and null ids are left out, and a null
 doc_id is reported as held out.  Repeated rows are repeated in the result.  Extra columns are
 ignored by ``scores`` and kept by ``reject``.
 """
@@ -77,7 +77,7 @@ def held_out() -> Column:
 def sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(text, toxic, weight) of the rows that are learned from."""
     known = labels.select(F.col("doc_id").cast("long"), F.col("toxic").cast("int").alias("toxic"))
-    known = known.filter("doc_id is not null and toxic is not null").filter(~held_out())
+    known = known.filter(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1)).filter(~held_out())
     known = cut(known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
     rows = dict(known.groupBy("toxic").count().collect())
     few = [known.filter(F.col("toxic") == x).orderBy(F.xxhash64("doc_id"), "doc_id").limit(MOST_EACH) for x in (0, 1)]

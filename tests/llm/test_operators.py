@@ -736,6 +736,14 @@ def test_labels_of_held_out_rows_are_not_learned_from(spark):
     assert plain(toxicity.scores(docs, labels).collect()) == plain(toxicity.scores(docs, turned).collect())
 
 
+def test_labels_that_are_no_labels_are_left_out(spark):
+    docs, labels = made_toxic(spark, 40)
+    odd = spark.createDataFrame([(d, d + 2) for d in range(40)], "doc_id long, toxic int")
+    told = toxicity.sample(docs, labels)
+    assert plain(toxicity.sample(docs, labels.unionByName(odd)).collect()) == plain(told.collect())
+    assert toxicity.sample(docs, odd).isEmpty()
+
+
 def test_a_bounded_sample_learns_the_share_of_the_labels(spark, monkeypatch):
     rng = random.Random(3)
     rows = [(d, " ".join(rng.choice("abcdefghij") for _ in range(9)) + f" n{d}" + " grub" * (d % 9 == 0 or d % 8 < 3)) for d in range(2700)]
