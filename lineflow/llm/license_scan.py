@@ -2,13 +2,15 @@
 
 Documents with words of license notices (HINT) are read word by word around each such word, over
 line ends, blank lines and other notices, as far as a notice with the longest template can reach.
-There each template is aligned with the words anywhere: a notice is confirmed if its missing and added words are
-at most MOST_DIFFERENT of the template's.  That is tried for every template that can still be
-confirmed by its counts of words, so none is left out, and for each notice by itself.
+These words, with the marks behind each and single spaces between, are compressed by zstandard in overlapping windows
+of each template's length, alone and with the template as raw dictionary.  Where the dictionary makes a
+window smaller, the template may be there.  Every template is tried, and every such window goes on,
+whatever its rank; templates too short for their own dictionary to help (TELLING) keep all windows.
 
-Of confirmed notices that overlap, the one with the most matching words less differing ones wins,
-then the one that zstandard with the template as raw dictionary makes smallest, then
-the first by name.  ``reduction`` is how much smaller the dictionary makes the notice.
+There the template is aligned with the words as an exact check: a notice is confirmed if its missing and added
+words are at most MOST_DIFFERENT of the template's.  Of confirmed notices that overlap, the one
+from which its template's dictionary saves the most bytes wins, then the one with the most matching
+words less differing ones, then the first by name.  ``reduction`` is how much smaller the dictionary makes the notice.
 
 TEMPLATES hold notices as they stand in files: one-line mentions, headers, and whole short licenses.  Whole texts of long licenses
 (thousands of words) are not among them; a caller gives these as ``templates``.
@@ -22,6 +24,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 from functools import cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +36,12 @@ from lineflow.llm.shared import text_batches
 MOST_DIFFERENT = 0.15
 #: Words that are aligned at once; pieces overlap by what a notice can reach.
 PIECE = 4000
+#: Words that windows move on by, at least; they are twice as long.
+STEP = 16
+#: Characters of a word with the marks behind it that are compressed; the exact check reads words whole.
+WIDEST = 100
+#: Bytes that a template's dictionary saves of the template itself; with fewer, compression does not tell where it is.
+TELLING = 8
 HINT = (
     r"(?i)licen[cs]|copyright|©|all rights reserved|public domain|permission|redistribut|warrant|merchantab|liab(le|ility)"
     r"|damages|\bas is\b|\bspdx\b|\bcc0\b|creative commons|terms and conditions|noninfringement|sublicense"
@@ -160,12 +169,50 @@ def words(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
+def _joined(marked: list[str]) -> bytes:
+    return " ".join(marked).encode("utf-8", "surrogatepass")
+
+
+def _marked(text: str, bounds: list[int]) -> list[str]:
+    """Each word with the marks behind it, up to the next word."""
+    return [" ".join(text[a:b].split())[:WIDEST] for a, b in pairwise(bounds)]
+
+
 @cache
 def _compressors(templates: tuple[tuple[str, str], ...]):
+    """A compressor alone, and by template: one with it as dictionary, the step of its windows, whether its dictionary tells."""
     import zstandard as z
 
-    raw = {k: z.ZstdCompressionDict(t.lower().encode(), dict_type=z.DICT_TYPE_RAWCONTENT) for k, t in templates}
-    return z.ZstdCompressor(level=19), {k: z.ZstdCompressor(level=19, dict_data=d) for k, d in raw.items()}
+    alone, given = z.ZstdCompressor(level=19), {}
+    for k, t in templates:
+        bounds = [*(m.start() for m in _WORD.finditer(t.lower())), len(t.lower())]
+        data, step = _joined(_marked(t.lower(), bounds)), STEP
+        own = z.ZstdCompressor(level=19, dict_data=z.ZstdCompressionDict(data, dict_type=z.DICT_TYPE_RAWCONTENT))
+        while step < _reach(len(bounds) - 1):
+            step *= 2
+        given[k] = own, step, len(alone.compress(data)) - len(own.compress(data)) >= TELLING
+    return alone, given
+
+
+def likely(part: list[str], templates: tuple[tuple[str, str], ...]) -> dict[str, list[tuple[int, int]]]:
+    """By template, the ranges of words that it makes smaller as dictionary: windows hold any notice that begins in their first half."""
+    alone, given = _compressors(templates)
+    found: dict[str, list[tuple[int, int]]] = {k: [] for k in given}
+    for step in {x for _, x, _ in given.values()}:
+        for a in range(0, max(1, len(part) - step), step):
+            b = min(a + 2 * step, len(part))
+            data = _joined(part[a:b])
+            size = len(alone.compress(data))
+            for k, (own, own_step, tells) in given.items():
+                if own_step == step and (not tells or len(own.compress(data)) < size):
+                    joins = found[k] and a <= found[k][-1][1]
+                    found[k].append((found[k].pop()[0] if joins else a, b))
+    return found
+
+
+def _reach(size: int) -> int:
+    """Words within which a notice with a template of ``size`` words lies."""
+    return int(size * (1 + MOST_DIFFERENT)) + 1
 
 
 @cache
@@ -237,18 +284,19 @@ def judge(text: str, templates: tuple[tuple[str, str], ...]) -> list[tuple[int,
     text_words = np.array([number.get(text[a:b], 0) for a, b in spans])
     sizes = counts.sum(axis=1)
     met = set()
-    for a, b in _pieces(text, [x for x, _ in spans], int(sizes.max() * (1 + MOST_DIFFERENT)) + 1):
-        part = text_words[a:b]
-        lacking = sizes - np.minimum(counts, np.bincount(part, minlength=counts.shape[1])).sum(axis=1)
-        for k in np.flatnonzero(lacking <= MOST_DIFFERENT * sizes):
-            met |= {(a + x, a + y, cost, int(k)) for x, y, cost in occurrences(told[k][1], counts[k], part)}
+    bounds = [*(x for x, _ in spans), len(text)]
+    for a, b in _pieces(text, bounds[:-1], _reach(int(sizes.max()))):
+        smaller = likely(_marked(text, bounds[a : b + 1]), templates)
+        for k, (name, template) in enumerate(told):
+            for x, y in smaller[name]:
+                met |= {(a + x + i, a + x + j, cost, k) for i, j, cost in occurrences(template, counts[k], text_words[a + x : a + y])}
     alone, given = _compressors(templates)
     ranked = []
     for a, b, cost, k in met:
-        data = text[spans[a][0] : spans[b - 1][1]].encode("utf-8", "surrogatepass")
+        data = _joined(_marked(text, bounds[a : b + 1]))
         name, added = told[k][0], (cost + b - a - int(sizes[k])) // 2
-        size = len(given[name].compress(data))
-        ranked.append((cost - (b - a - added), size, name, a, b, 1 - size / len(alone.compress(data)), cost - added, added))
+        size, plain = len(given[name][0].compress(data)), len(alone.compress(data))
+        ranked.append((size - plain, cost - (b - a - added), name, a, b, 1 - size / plain, cost - added, added))
     taken = []
     for _, _, name, a, b, reduction, missing, added in sorted(ranked):
         at = bisect_left(taken, (a,))

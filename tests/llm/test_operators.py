@@ -320,6 +320,39 @@ def test_all_templates_are_found_in_any_wrapping(spark, docs, width):
     assert len(got & set(enumerate(names))) >= 0.9 * len(names)
 
 
+def test_compression_finds_and_ranks_notices(spark):
+    head, tail = "permission to use copy modify and distribute this software for", "is hereby granted without any fee to all who ask and keep this notice in each copy"
+    notice = f"{head} internationalization-purposes a b {tail}"
+    # one word of the first template differs, and two of the second, but its dictionary saves more of the notice
+    given = {"one": f"{head} documentation a b {tail}", "two": f"{head} internationalization-purposes x y {tail}"}
+    got = license_scan.scan(spark.createDataFrame([(1, f"prose\n{notice}\nprose")], "doc_id long, text string"), given).collect()
+    assert [(r.line, r.license, r.missing, r.added) for r in got] == [(1, "two", 2, 2)]
+
+
+def test_windows_that_compression_leaves_out_hold_no_notice(docs):
+    rng, templates = random.Random(5), tuple(sorted(license_scan.TEMPLATES.items()))
+    prose, left = " ".join(t or "" for t in docs.values()).split()[:40_000], 0
+    for _ in range(4):
+        for name, text in templates:
+            notice = text.split()
+            for _ in range(rng.randint(0, int(license_scan.MOST_DIFFERENT * len(license_scan.words(text))))):
+                notice.insert(rng.randrange(len(notice) + 1), rng.choice(prose))
+            at, before = rng.randrange(len(prose) - 900), rng.randint(0, 400)
+            part = [x.lower() for x in [*prose[at : at + before], *notice, *prose[at + before : at + 800]]]
+            ranges = license_scan.likely(part, templates)[name]
+            assert any(a <= before and before + len(notice) <= b for a, b in ranges)
+            left += sum(b - a for a, b in ranges) < len(part)
+    assert left > len(templates)
+    part = "x y z a b c x y z".split()
+    assert license_scan.likely(part, (("tiny", "a b c"),)) == {"tiny": [(0, len(part))]}
+
+
+def test_short_notices_among_others_of_any_symbols():
+    templates = tuple(sorted(license_scan.TEMPLATES.items()))
+    text = "=" * 300_000 + "All rights reserved." + "*" * 300_000 + " a license " + "x" * 300_000 + "\nReleased under the\n// MIT License."
+    assert [(x[0], x[1]) for x in license_scan.judge(text, templates)] == [(0, "Proprietary"), (1, "MIT")]
+
+
 # --- 4: decontamination ---
 
 
