@@ -23,8 +23,9 @@ import json
 import os
 import re
 import zlib
+from bisect import bisect_left, bisect_right, insort
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from unicodedata import is_normalized
 
 import numpy as np
@@ -40,14 +41,17 @@ CAPACITY = 2048
 END_ID = 1
 #: Tokens in a pool: 4 bytes each.
 POOL_TOKENS = 2_000_000
-#: Bytes of chunks and their ids that a worker remembers.
-CACHE_BYTES = 48_000_000
+#: Bytes of chunks and their ids that a worker remembers; beyond, it starts anew.
+CACHE_BYTES = 96_000_000
 #: What a remembered chunk takes besides its characters and ids.
-ENTRY_BYTES = 190
+ENTRY_BYTES = 200
 #: Characters tokenized at once, and one text more.
-AT_ONCE = 500_000
+AT_ONCE = 2_000_000
 #: Separators that Python's split() takes for white space and the tokenizer does not.
 ODD_SPACE = re.compile("[\x1c-\x1f]")
+#: Chunks that one run of the tokenizer gets.
+TOGETHER = 1024
+PLAIN_WORD = re.compile("[a-z]+")
 #: Where letters end and marks begin, a token ends: no apostrophe, which may begin a contraction.
 EDGE = r"(\pL)([!\"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~])"
 
@@ -73,12 +77,14 @@ class Encoder:
     on each distinct chunk between white space, and texts are put together from these.
     Two steps that leave ids as they are make its runs fewer: texts are lower-cased, as the
     tokenizer does, and marks behind letters are chunks of their own.  Texts that may hold a
-    special token ("<|") are spared both.  Any other tokenizer gets whole texts.
+    special token ("<|") are spared both.  Words of the letters a-z, which its steps before the
+    model leave as they are, go to the same model without these steps.  Any other tokenizer gets whole texts.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
 
         self.tokenizer = Tokenizer.from_file(path)
         steps = json.loads(self.tokenizer.to_str())
@@ -91,32 +97,47 @@ class Encoder:
         vocab = steps.pop("model").pop("vocab") if self.cuttable else {}
         self.last = np.zeros(max(vocab.values(), default=0) + 1 + len(special), bool)  # ids that end a word
         self.last[[i for token, i in vocab.items() if token.endswith(WORD_END)]] = True
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.model = Tokenizer.from_file(path) if self.cuttable else self.tokenizer
+        if self.cuttable:
+            self.model.normalizer, self.model.pre_tokenizer = None, WhitespaceSplit()
+        self._forget()
+
+    def _forget(self) -> None:
+        """Remembered chunks have a row each; ``firsts`` and ``sizes`` tell where its ids lie in ``ids``."""
+        self.rows: dict[str, int] = {}
+        self.ids, self.firsts, self.sizes = np.zeros(0, "<u4"), np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.size = 0
 
-    def _each(self, texts: list[str]) -> list[bytes]:
+    def _each(self, texts: list[str]) -> list[np.ndarray]:
         got = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in got]
+        return [np.array(x.ids, "<u4") for x in got]
 
-    def _words(self, words: list[str]) -> list[bytes]:
-        """Ids of words of letters only: such a word is one token sequence up to its end mark."""
-        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
-        ends = (np.flatnonzero(self.last[ids]) + 1) * 4
-        if len(ends) != len(words):
-            return self._each(words)
-        whole, ends = ids.tobytes(), ends.tolist()
-        return [whole[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+    def _chunks(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all ``chunks``, and how many each has."""
+        each = self._each(chunks)
+        return np.concatenate(each), np.array([len(x) for x in each], np.int64)
+
+    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same of words of letters only: such a word is one token sequence up to its end mark."""
+        run = self.model if all(map(PLAIN_WORD.fullmatch, words)) else self.tokenizer
+        ids = np.array(run.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.flatnonzero(self.last[ids]) + 1
+        return (ids, np.diff(ends, prepend=0)) if len(ends) == len(words) else self._chunks(words)
 
     def _learn(self, chunks: list[str]) -> None:
-        words = [x for x in chunks if x.isalpha()]
-        rest = [x for x in chunks if not x.isalpha()]
-        for kind, run, size in ((words, self._words, 256), (rest, self._each, 2048)):
-            for i in range(0, len(kind), size):
-                part = kind[i : i + size]
-                ids = run(part)
-                self.young.update(zip(part, ids, strict=True))
-                self.size += sum(map(len, part)) + sum(map(len, ids)) + ENTRY_BYTES * len(part)
+        kinds: tuple[list[str], ...] = ([], [], [])
+        for x in chunks:
+            kinds[(not x.isascii() or x != x.lower()) if x.isalpha() else 2].append(x)
+        ids, sizes = [self.ids], [self.sizes]
+        for kind, run in zip(kinds, (self._words, self._words, self._chunks), strict=True):
+            for i in range(0, len(kind), TOGETHER):
+                part = kind[i : i + TOGETHER]
+                self.rows.update(zip(part, range(len(self.rows), len(self.rows) + len(part)), strict=True))
+                for all_of, got in zip((ids, sizes), run(part), strict=True):
+                    all_of.append(got)
+                self.size += sum(map(len, part)) + 4 * len(ids[-1]) + ENTRY_BYTES * len(part)
+        self.ids, self.sizes = np.concatenate(ids), np.concatenate(sizes)
+        self.firsts = np.cumsum(self.sizes) - self.sizes
 
     @staticmethod
     def _plain(text: str) -> str | None:
@@ -130,42 +151,36 @@ class Encoder:
             return low
         return text
 
-    def _known(self, chunks: list[str]) -> list[bytes]:
-        """Ids of distinct chunks, from the cache where it has them."""
-        if self.size > CACHE_BYTES // 2:
-            self.young, self.old, self.size = {}, self.young, 0
-        young, old, new = self.young, self.old, []
-        for x in chunks:
-            if x not in young:
-                if x in old:
-                    young[x] = old[x]
-                    self.size += len(x) + len(old[x]) + ENTRY_BYTES
-                else:
-                    new.append(x)
-        self._learn(new)
-        return list(map(self.young.__getitem__, chunks))
+    def _known(self, chunks: list[str]) -> np.ndarray:
+        """Rows of distinct chunks, which are learned where they are not remembered."""
+        if self.size > CACHE_BYTES:
+            self._forget()
+        rows = list(map(self.rows.get, chunks))
+        new = [x for x, row in zip(chunks, rows, strict=True) if row is None]
+        if new:
+            self._learn(new)
+            rows = list(map(self.rows.__getitem__, chunks))
+        return np.array(rows, np.int64)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Ids of each text: distinct chunks are looked up, the rest is array work."""
         if not self.cuttable:
-            return self._each(texts)
+            return [x.tobytes() for x in self._each(texts)]
         plain = [self._plain(t) for t in texts]
         whole = pa.array([x or "" for x in plain], pa.string())
         apart = pc.replace_substring_regex(whole, EDGE, r"\1 \2")
         apart = pc.if_else(pa.array(["<|" in t for t in texts], pa.bool_()), whole, apart)
         split = pc.utf8_split_whitespace(apart)
         coded = split.flatten().dictionary_encode()
-        ids = self._known(coded.dictionary.to_pylist())
-        at = coded.indices.to_numpy()
-        sizes = np.fromiter((len(x) // 4 for x in ids), np.int64, len(ids))
-        firsts = np.cumsum(sizes) - sizes
-        ends = np.cumsum(sizes[at])
+        at = self._known(coded.dictionary.to_numpy(zero_copy_only=False).tolist())[coded.indices.to_numpy()]
+        sizes = self.sizes[at]
+        ends = np.cumsum(sizes)
         whole = np.arange(ends[-1] if len(ends) else 0)
-        whole += np.repeat(firsts[at] - ends + sizes[at], sizes[at])
-        whole = np.frombuffer(b"".join(ids), "<u4")[whole]
+        whole += np.repeat(self.firsts[at] - ends + sizes, sizes)
+        whole = self.ids[whole]
         bounds = np.append(0, ends)[split.offsets.to_numpy()].tolist()
         return [
-            self._each([t])[0] if x is None else whole[a:b].tobytes()
+            self._each([t])[0].tobytes() if x is None else whole[a:b].tobytes()
             for t, x, a, b in zip(texts, plain, bounds, bounds[1:], strict=False)
         ]
 
@@ -174,11 +189,14 @@ def encoder(path: str) -> Encoder:
     return held(f"packing {path}", lambda: Encoder(path))
 
 
-def fill(counts: dict[int, int], room: int) -> dict[int, int]:
-    """The multiset of lengths, each at most ``counts`` times, whose sum is closest below ``room``."""
+def fill(counts: dict[int, int], room: int, lengths: Iterable[int] | None = None) -> dict[int, int]:
+    """The multiset of lengths, each at most ``counts`` times, whose sum is closest below ``room``.
+
+    ``lengths``: those that are at most ``room``, from the largest down, if the caller has them in order.
+    """
     mask = (1 << room + 1) - 1
     reach, steps = 1, []
-    for length in sorted((x for x in counts if x <= room and counts[x]), reverse=True):
+    for length in sorted((x for x in counts if x <= room), reverse=True) if lengths is None else lengths:
         left, share = min(counts[length], room // length), 1
         while left:
             share = min(share, left)
@@ -206,23 +224,32 @@ def plan(sizes: list[int], capacity: int = CAPACITY) -> list[list[tuple[int, int
             rest[size - full].append((item, full))
     for length in rest:
         rest[length].reverse()  # pop() takes the first
-    while rest:
-        top = max(rest)
-        counts = {x: len(v) - (x == top) for x, v in rest.items()}
-        chosen = fill(counts, capacity - top)
+    order, counts = sorted(rest), {x: len(v) for x, v in rest.items()}
+    while order:
+        top, room = order[-1], capacity - order[-1]
+        counts[top] -= 1
+        chosen = fill(counts, room, (order[k] for k in range(bisect_right(order, room) - 1, -1, -1)))
+        counts[top] += 1
         chosen[top] = chosen.get(top, 0) + 1
         slack = capacity - sum(x * n for x, n in chosen.items())
         for _ in range(min(len(rest[x]) // n for x, n in chosen.items()) if not slack else 1):
             pieces = [(*rest[x].pop(), x) for x in sorted(chosen, reverse=True) for _ in range(chosen[x])]
-            for x in [x for x in chosen if not rest[x]]:
-                del rest[x]
-            if slack and rest:
-                x = min(rest)
+            for x, n in chosen.items():
+                counts[x] -= n
+                if not counts[x]:
+                    del order[bisect_left(order, x)]
+            if slack and order:
+                x = order[0]
                 item, start = rest[x].pop()
-                if not rest[x]:
-                    del rest[x]
+                counts[x] -= 1
+                if not counts[x]:
+                    del order[0]
                 pieces.append((item, start, slack))
-                rest[x - slack].append((item, start + slack))
+                x -= slack
+                rest[x].append((item, start + slack))
+                counts[x] = len(rest[x])
+                if counts[x] == 1:
+                    insort(order, x)
             elif slack:
                 sequences += _powers(pieces)
                 pieces = []

@@ -124,6 +124,45 @@ def test_chunks_have_the_tokenizer_s_ids():
         assert encode([t])[0] == np.array(encode.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes(), t
 
 
+def test_plain_words_and_a_cache_that_starts_anew(monkeypatch, docs):
+    encode = packing.Encoder(tokenizer_path())
+    monkeypatch.setattr(packing, "CACHE_BYTES", 1000)
+    runs = []
+    whole = encode.tokenizer
+
+    class Counted:
+        def encode_batch_fast(self, texts, **options):
+            runs.extend(texts)
+            return whole.encode_batch_fast(texts, **options)
+
+    encode.tokenizer = Counted()
+    letters = ["plain words of letters only", "and more words of letters"]
+    assert encode(letters) == [np.array(whole.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in letters]
+    assert not runs  # such words need the model only
+    for t in [x for x in docs.values() if x][:40]:
+        assert encode([t])[0] == np.array(whole.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+    assert 0 < len(encode.rows) == len(encode.sizes) < 6000 and runs
+
+
+def test_plans_of_many_lengths():
+    rng = random.Random(6)
+    for capacity in (7, 64, 2048):
+        for _ in range(20):
+            sizes = [rng.choice([rng.randint(0, 5000), rng.randint(1, 60)]) for _ in range(rng.randint(0, 200))]
+            got, cut = packing.plan(sizes, capacity), defaultdict(list)
+            for pieces in got:
+                held = sum(length for _, _, length in pieces)
+                assert held == capacity or held < capacity and held & (held - 1) == 0
+                for item, start, length in pieces:
+                    cut[item].append((start, length))
+            for item, size in enumerate(sizes):
+                at = 0
+                for start, length in sorted(cut[item]):
+                    assert start == at and length > 0
+                    at += length
+                assert at == size
+
+
 def test_other_tokenizers_get_whole_texts():
     import public_tokenizers
     from tokenizers import Tokenizer
